@@ -109,13 +109,20 @@ def flag_to_text(c: Column | str) -> Column:
     return F.initcap(as_column(c).cast("string"))
 
 
-def clamp(c: Column | str, highest: float, lowest: float | None = None) -> Column:
+def clamp(
+    c: Column | str, data_type: T.DataType, highest: float, lowest: float | None = None
+) -> Column:
     """Hold a number inside ``[lowest, highest]``; text that is no number stays as it is."""
     c = as_column(c)
-    number = c.try_cast("double")
-    out = F.when(number > highest, F.lit(highest))
+    is_text = isinstance(data_type, T.StringType)
+    number = c.try_cast("double") if is_text else c
+
+    def edge(value: float) -> Column:
+        return F.lit(str(value)) if is_text else F.lit(value)
+
+    out = F.when(number > highest, edge(highest))
     if lowest is not None:
-        out = out.when(number < lowest, F.lit(lowest))
+        out = out.when(number < lowest, edge(lowest))
     return out.otherwise(c)
 
 

@@ -22,26 +22,33 @@ SHORT_YEAR = "([0-9]{2})"
 
 SPACES = " \t\n\r\x0b\x0c"
 
-# Nanosecond timestamps end here; anything outside is treated as unreadable.
-EARLIEST, LATEST = "1677-09-21 00:12:44", "2262-04-11 23:47:16"
 SERIAL_START, SERIAL_MIN, SERIAL_END = "1899-12-30 00:00:00", 59.0, 200000.0
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _seconds(value: Column) -> Column:
+    """An interval of decimal seconds."""
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), value.try_cast("decimal(18,6)"))
+
+
 def _in_range(ts: Column) -> Column:
-    low = F.lit(EARLIEST).cast("timestamp_ntz")
-    high = F.lit(LATEST).cast("timestamp_ntz")
-    return F.when(ts.between(low, high), ts)
+    """NULL beyond what nanoseconds since 1970 can count in 64 bits (1677 to 2262)."""
+    since = F.try_divide(F.try_multiply(ts - _epoch(), F.lit(1000)), F.lit(1000))
+    return _epoch() + since
 
 
-def _read(text: Column, pattern: str, order: str) -> Column:
-    """Rearrange ``text`` to ISO order and cast; seconds 60 and 61 run into the next minute."""
-    iso = F.regexp_replace(text, pattern, order)
-    leap = F.regexp_replace(iso, ":6[01]$", ":59").try_cast("timestamp_ntz")
-    extra = F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.substring(iso, -2, 2).try_cast("decimal(18,6)") - 59
-    )
-    parsed = F.when(iso.rlike(":6[01]$"), leap + extra).otherwise(iso.try_cast("timestamp_ntz"))
-    return F.when(text.rlike(pattern), _in_range(parsed))
+def _read(text: Column, pattern: str, order: str, second: int | None = None) -> Column:
+    """Rearrange ``text`` to ISO order and cast.
+
+    Seconds are added on top, so that 60 and 61 run into the next minute.
+    """
+    moment = F.regexp_replace(text, pattern, order).try_cast("timestamp_ntz")
+    if second is not None:
+        moment = moment + _seconds(F.regexp_extract(text, pattern, second))
+    return F.when(text.rlike(pattern), moment)
 
 
 def timestamp_from_text(c: Column | str) -> Column:
@@ -55,11 +62,13 @@ def timestamp_from_text(c: Column | str) -> Column:
     digits_day = f"^{YEAR}{MONTH}{DAY}$"
     digits_time = f"^{YEAR}{MONTH}{DAY}{HOUR}{MINUTE}{SECOND}$"
     day_only = "^([0-9]{4})([-/])([0-9]{2})\\2([0-9]{2})$"
-    return F.coalesce(
-        _read(text, separated, "$1-$3-$4 $5:$6:$7"),
-        _read(text, digits_day, "$1-$2-$3"),
-        _read(text, digits_time, "$1-$2-$3 $4:$5:$6"),
-        _read(text, day_only, "$1-$3-$4"),
+    return _in_range(
+        F.coalesce(
+            _read(text, separated, "$1-$3-$4 $5:$6:00", 7),
+            _read(text, digits_day, "$1-$2-$3"),
+            _read(text, digits_time, "$1-$2-$3 $4:$5:00", 6),
+            _read(text, day_only, "$1-$3-$4"),
+        )
     )
 
 
@@ -79,23 +88,16 @@ def timestamp_from_integer(c: Column | str) -> Column:
     text = number.cast("string")
     with_year = F.concat(_full_year(F.substring(text, 1, 2)), F.substring(text, 3, 4))
     day = f"^{YEAR}{MONTH}{DAY}$"
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    micros = F.floor(number / F.lit(1000)).cast("decimal(20,0)")
-    nanos = epoch + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), (micros / F.lit(1000000)).cast("decimal(18,6)")
-    )
-    return (
-        F.when(F.length(text) == 8, _read(text, day, "$1-$2-$3"))
-        .when(F.length(text) == 6, _read(with_year, day, "$1-$2-$3"))
-        .when(
-            F.length(text) == 12,
-            _read(text, f"^{YEAR}{MONTH}{DAY}{HOUR}{MINUTE}$", "$1-$2-$3 $4:$5:00"),
-        )
-        .when(
-            F.length(text) == 14,
-            _read(text, f"^{YEAR}{MONTH}{DAY}{HOUR}{MINUTE}{SECOND}$", "$1-$2-$3 $4:$5:$6"),
-        )
-        .otherwise(nanos)
+    minute = f"^{YEAR}{MONTH}{DAY}{HOUR}{MINUTE}$"
+    second = f"^{YEAR}{MONTH}{DAY}{HOUR}{MINUTE}{SECOND}$"
+    micros = (number - F.pmod(number, F.lit(1000))).cast("decimal(20,0)") / F.lit(1000000000)
+    size = F.length(text)
+    return _in_range(
+        F.when(size == 8, _read(text, day, "$1-$2-$3"))
+        .when(size == 6, _read(with_year, day, "$1-$2-$3"))
+        .when(size == 12, _read(text, minute, "$1-$2-$3 $4:$5:00"))
+        .when(size == 14, _read(text, second, "$1-$2-$3 $4:$5:00", 6))
+        .otherwise(_epoch() + _seconds(micros))
     )
 
 
@@ -103,10 +105,8 @@ def timestamp_from_serial(c: Column | str) -> Column:
     """Spreadsheet day numbers above 59, counted from 1899-12-30; the fraction is the time."""
     serial = as_column(c).cast("double")
     start = F.lit(SERIAL_START).cast("timestamp_ntz")
-    seconds = F.round(serial * F.lit(86400.0), 6).try_cast("decimal(18,6)")
-    moved = start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
-    usable = (serial > SERIAL_MIN) & (serial < SERIAL_END)
-    return F.when(usable, _in_range(moved))
+    moved = start + _seconds(F.round(serial * F.lit(86400.0), 6))
+    return F.when((serial > SERIAL_MIN) & (serial < SERIAL_END), _in_range(moved))
 
 
 def timestamp_from_log(c: Column | str) -> Column:

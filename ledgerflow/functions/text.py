@@ -17,19 +17,20 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Letters that decompose into several letters lie in these ranges, as do the Hangul syllables.
+SPREAD_RANGES = "[\\x{980}-\\x{1FFF}\\x{3000}-\\x{10FFFF}]"
+
+
 @lru_cache(maxsize=1)
 def _accent_tables() -> tuple[dict[str, str], dict[str, str], str]:
-    """From the Unicode data: one-letter bases, several-letter bases, class of combining marks."""
+    """From the Unicode data: one-letter bases, several-letter bases, combining marks."""
     single: dict[str, str] = dict(STROKE_LETTERS)
     several: dict[str, str] = {}
-    marks: list[list[int]] = []
-    for code in range(0x80, 0x2FA20):
+    marks: list[str] = []
+    for code in [*range(0x80, 0x2FA20), *range(0xE0100, 0xE01F0)]:
         letter = chr(code)
         if unicodedata.category(letter) == "Mn":
-            if marks and marks[-1][1] == code - 1:
-                marks[-1][1] = code
-            else:
-                marks.append([code, code])
+            marks.append(letter)
             continue
         if HANGUL_FIRST <= code <= HANGUL_LAST or not unicodedata.decomposition(letter):
             continue
@@ -40,9 +41,7 @@ def _accent_tables() -> tuple[dict[str, str], dict[str, str], str]:
             single[letter] = base
         elif len(base) > 1:
             several[letter] = base
-    marks.append([0xE0100, 0xE01EF])
-    mark_class = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in marks) + "]+"
-    return single, several, mark_class
+    return single, several, "".join(marks)
 
 
 def _hangul_letters(c: Column) -> Column:
@@ -72,16 +71,22 @@ def _hangul_letters(c: Column) -> Column:
 def strip_accents(c: Column | str) -> Column:
     """Drop combining marks after canonical decomposition, and turn Đ/đ into D/d.
 
-    Plain ASCII text, found by its byte length, is passed through untouched.
+    Plain ASCII text, found by its byte length, passes untouched. All other letters go through one
+    ``translate``, which swaps accented letters and deletes the marks; only text with letters that
+    spread into several takes the longer way first.
     """
     c = as_column(c)
-    single, several, mark_class = _accent_tables()
+    single, several, marks = _accent_tables()
+
+    def swap(text: Column) -> Column:
+        return F.translate(text, "".join(single) + marks, "".join(single.values()))
+
     spread = reduce(lambda e, kv: F.replace(e, F.lit(kv[0]), F.lit(kv[1])), several.items(), c)
-    out = F.when(c.rlike("[" + "".join(several) + "]"), spread).otherwise(c)
-    out = F.when(c.rlike("[가-힣]"), _hangul_letters(out)).otherwise(out)
-    out = F.translate(out, "".join(single), "".join(single.values()))
-    out = F.regexp_replace(out, mark_class, "")
-    return F.when(F.octet_length(c) == F.char_length(c), c).otherwise(out)
+    return (
+        F.when(F.octet_length(c) == F.char_length(c), c)
+        .when(c.rlike(SPREAD_RANGES), swap(_hangul_letters(spread)))
+        .otherwise(swap(c))
+    )
 
 
 def clean_line(c: Column | str) -> Column:

@@ -14,7 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerflow.functions.dates import date_from_page_header, timestamp_from_text
 from ledgerflow.functions.text import clean_line, file_date, normalise_label
-from ledgerflow.sources.lines import FILE, LINE, VALUE, carry_over_blocks, scan_blocks
+from ledgerflow.sources.lines import (
+    BLOCK,
+    FILE,
+    LINE,
+    VALUE,
+    carry_over_blocks,
+    read_lines,
+    scan_blocks,
+)
 
 # The columns of the report table, in order.
 REPORT_HEADER = (
@@ -73,13 +81,15 @@ REPORT_HEADER = (
 # Signed, zero-padded number columns.
 AMOUNT_COLUMNS = ("Source Amount", "Settlement amount - Inter", "Interchange Fee Amount")
 
-RECORD_START = r"^\s*TCR\s+0\b"
+RECORD_START = r"^TCR\s+0\b"
 SYSTEM_DATE = r"SYSTEM DATE\s+(\d{2}/\d{2}/\d{2})"
 PROCESSING_DATE = r"\bCPD\s+(\d{2}/\d{2}/\d{2})"
-LABEL_AND_VALUE = r"^\s*(.+?)\s{2,}(\S.*?)\s*$"
+GAP = r"\s{2,}"
 
 RECORD = "record"
+# Values of a record that come from around it, not from its lines.
 PAGE_SYSTEM, PAGE_CPD, REPORT_NAME = "#system", "#cpd", "#name"
+SLOTS = (*REPORT_HEADER, PAGE_SYSTEM, PAGE_CPD, REPORT_NAME)
 
 
 def _plain(label: str) -> str:
@@ -103,9 +113,8 @@ def map_labels(df: DataFrame, label: str, into: str = "header") -> DataFrame:
 
     The lookup holds the beginnings of 51 fixed names, so it is always small enough to broadcast.
     """
-    lookup = df.sparkSession.createDataFrame(
-        list(label_prefixes().items()), f"_plain string, {into} string"
-    )
+    names = {**label_prefixes(), PAGE_SYSTEM: PAGE_SYSTEM, PAGE_CPD: PAGE_CPD, REPORT_NAME: REPORT_NAME}
+    lookup = df.sparkSession.createDataFrame(list(names.items()), f"_plain string, {into} string")
     return df.join(F.broadcast(lookup), normalise_label(label) == F.col("_plain")).drop("_plain")
 
 
@@ -115,41 +124,46 @@ def split_reports(lines: DataFrame, name: Column) -> DataFrame:
     The latter come as labels of their own, one set per record. Lines above the first record of a
     file belong to none and are left out.
     """
-    text = clean_line(VALUE)
+    text = F.col("text")
 
-    def capture(pattern: str, group: int = 1) -> Column:
-        found = F.regexp_extract("text", pattern, group)
-        return F.when(found != "", found)
+    def dated(word: str, pattern: str) -> Column:
+        return F.when(text.contains(word), F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")))
 
-    parts = lines.select(FILE, "block", name.alias("name"), text.alias("text")).select(
+    parts = lines.select(
+        FILE, BLOCK, name.alias("name"), F.trim(clean_line(VALUE)).alias("text")
+    ).select(
         FILE,
-        "block",
+        BLOCK,
         "name",
-        F.col("text").rlike(RECORD_START).alias("starts"),
-        capture(SYSTEM_DATE).alias("system_date"),
-        capture(PROCESSING_DATE).alias("cpd"),
-        capture(LABEL_AND_VALUE, 1).alias("label"),
-        capture(LABEL_AND_VALUE, 2).alias("text"),
+        (text.startswith("TCR") & text.rlike(RECORD_START)).alias("starts"),
+        dated("SYSTEM DATE", SYSTEM_DATE).alias("system_date"),
+        dated("CPD", PROCESSING_DATE).alias("cpd"),
+        F.split(text, GAP, 2).alias("pair"),
     )
-    useful = F.col("starts") | F.coalesce("system_date", "cpd", "label").isNotNull()
     scanned = scan_blocks(
-        parts.filter(useful),
+        parts,
         counts={RECORD: "starts"},
         carry={"page_system": "system_date", "page_cpd": "cpd"},
     )
-    carried = carry_over_blocks(scanned, [LINE, RECORD], ["page_system", "page_cpd"])
+    paired = F.size("pair") == 2
+    useful = scanned.filter(
+        F.col("starts") | paired | F.col("system_date").isNotNull() | F.col("cpd").isNotNull()
+    )
+    carried = carry_over_blocks(useful, [LINE, RECORD], ["page_system", "page_cpd"])
 
-    def entry(label: str, value: Column | str) -> Column:
-        value = F.col(value) if isinstance(value, str) else value
-        return F.struct(F.lit(label).alias("label"), value.alias("text"))
+    def entry(label: Column, value: Column) -> Column:
+        return F.struct(label.alias("label"), value.alias("text"))
 
     opening = F.array(
-        entry(PAGE_SYSTEM, "page_system"), entry(PAGE_CPD, "page_cpd"), entry(REPORT_NAME, "name")
+        entry(F.lit(PAGE_SYSTEM), F.col("page_system")),
+        entry(F.lit(PAGE_CPD), F.col("page_cpd")),
+        entry(F.lit(REPORT_NAME), F.col("name")),
     )
-    own = F.array(F.struct("label", "text"))
+    own = F.array(entry(F.get("pair", F.lit(0)), F.trim(F.get("pair", F.lit(1)))))
+    entries = F.when(F.col("starts"), opening).when(paired, own)
     return (
         carried.filter(F.col(RECORD) > 0)
-        .select(FILE, RECORD, LINE, F.explode(F.when(F.col("starts"), opening).otherwise(own)).alias("e"))
+        .select(FILE, RECORD, LINE, F.explode(entries).alias("e"))
         .select(FILE, RECORD, LINE, "e.label", "e.text")
     )
 
@@ -158,42 +172,40 @@ def parse_reports(lines: DataFrame, name: Column) -> DataFrame:
     """One row per record with the 51 report columns.
 
     The first value of a label wins. Values are brought together per record and label first, so a
-    record with very many lines is combined before it moves. Identifiers stay text; the amounts
-    are whole decimals, Purchase Date is a timestamp, Record Date comes from the report's name.
+    record with very many lines is combined before it moves, and the list that is then made per
+    record holds one value per header at most. Identifiers stay text; the amounts are whole
+    decimals, Purchase Date is a timestamp, Record Date comes from the report's name.
     """
-    entries = split_reports(lines, name)
-    marks = entries.filter(F.col("label").startswith("#")).withColumn("header", F.col("label"))
-    fields = map_labels(entries.filter(~F.col("label").startswith("#")), "label")
+    fields = map_labels(split_reports(lines, name), "label")
+    slot = F.array_position(F.lit(list(SLOTS)), F.col("header")).cast("int").alias("slot")
     firsts = (
-        marks.unionByName(fields)
-        .groupBy(FILE, RECORD, "header")
+        fields.select(FILE, RECORD, LINE, slot, "text")
+        .groupBy(FILE, RECORD, "slot")
         .agg(F.min_by("text", LINE).alias("text"))
     )
-    own = [h for h in REPORT_HEADER if h != "Record Date"]
-    wide = (
-        firsts.groupBy(FILE, RECORD)
-        .pivot("header", [PAGE_SYSTEM, PAGE_CPD, REPORT_NAME, *own])
-        .agg(F.first("text", ignorenulls=True))
-    )
+    values = F.map_from_entries(F.collect_list(F.struct("slot", "text"))).alias("values")
+    records = firsts.groupBy(FILE, RECORD).agg(values)
+
+    def found(header: str) -> Column:
+        return F.try_element_at("values", F.lit(SLOTS.index(header) + 1))
 
     def column(header: str) -> Column:
-        value = F.col(f"`{header}`") if header != "Record Date" else file_date(F.col(f"`{REPORT_NAME}`"))
+        value = file_date(found(REPORT_NAME)) if header == "Record Date" else found(header)
         if header in AMOUNT_COLUMNS:
             value = value.try_cast("decimal(38,0)")
         elif header == "Purchase Date":
             value = timestamp_from_text(value)
         elif header == "System Date":
-            value = F.coalesce(value, _page_date(PAGE_SYSTEM))
+            value = F.coalesce(value, _page_date(found(PAGE_SYSTEM)))
         elif header == "CPD":
-            value = F.coalesce(value, _page_date(PAGE_CPD))
+            value = F.coalesce(value, _page_date(found(PAGE_CPD)))
         return value.alias(header)
 
-    return wide.select(*[column(h) for h in REPORT_HEADER])
+    return records.select(*[column(h) for h in REPORT_HEADER])
 
 
-def _page_date(mark: str) -> Column:
+def _page_date(text: Column) -> Column:
     """``yyyyMMdd`` of a page date; month first, year first where that is no date."""
-    text = F.col(f"`{mark}`")
     turned = F.regexp_replace(text, r"^(\d{2})/(\d{2})/(\d{2})$", "$2/$3/$1")
     return F.date_format(
         F.coalesce(date_from_page_header(text), date_from_page_header(turned)), "yyyyMMdd"
@@ -209,14 +221,14 @@ def to_report_table(records: DataFrame) -> DataFrame:
     return records.toDF(*[table_column(c) for c in records.columns])
 
 
-def read_reports(spark: SparkSession, path: str | list[str], name_column: str | None = None) -> DataFrame:
+def read_reports(
+    spark: SparkSession, path: str | list[str], name_column: str | None = None
+) -> DataFrame:
     """Parse all reports under a path.
 
     A report is named by its file, or by a folder column (``report=20250131_X.TXT/part-...``), the
     form in which Spark writes one.
     """
-    from ledgerflow.sources.lines import read_lines
-
     lines = read_lines(spark, path)
     own_name = F.element_at(F.split(FILE, "/"), -1)
     return parse_reports(lines, F.col(name_column) if name_column else own_name)

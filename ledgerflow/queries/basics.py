@@ -35,14 +35,14 @@ def select_alias(spark, sf):
 
 
 @query("""SELECT l_orderkey, l_linenumber, upper(l_returnflag) AS flag,
-       round(l_extendedprice * (1 - l_discount), 2) AS net FROM lineitem""")
+       l_extendedprice * (1 - l_discount) AS net FROM lineitem""")
 def select_expr(spark, sf):
     return clean.project_sql(
         table(spark, sf, "lineitem"),
         "l_orderkey",
         "l_linenumber",
         "upper(l_returnflag) AS flag",
-        "round(l_extendedprice * (1 - l_discount), 2) AS net",
+        "l_extendedprice * (1 - l_discount) AS net",
     )
 
 

@@ -193,12 +193,15 @@ def strip_accents(spark, sf):
 
 
 @query("""SELECT c_custkey, least(greatest(c_acctbal, 0), 5000) AS held,
-       c_mktsegment AS held_text FROM customer""")
+       CASE WHEN c_nationkey < 5 THEN c_mktsegment WHEN c_acctbal > 5000 THEN '5000.0'
+            WHEN c_acctbal < 0 THEN '0.0' ELSE c_acctbal::VARCHAR END AS held_text FROM customer""")
 def clamp(spark, sf):
+    few = F.col("c_nationkey") < 5
+    mixed = F.when(few, F.col("c_mktsegment")).otherwise(F.col("c_acctbal").cast("string"))
     return table(spark, sf, "customer").select(
         "c_custkey",
-        convert.clamp("c_acctbal", 5000.0, 0.0).alias("held"),
-        convert.clamp("c_mktsegment", 5000.0, 0.0).alias("held_text"),
+        convert.clamp("c_acctbal", T.DoubleType(), 5000.0, 0.0).alias("held"),
+        convert.clamp(mixed, T.StringType(), 5000.0, 0.0).alias("held_text"),
     )
 
 

@@ -291,7 +291,7 @@ def export_json(spark, sf):
 def write_reports(spark: SparkSession, sf: str, path: str) -> None:
     """Orders as settlement reports, one per order date's year, a page heading above each record."""
     orders = table(spark, sf, "orders")
-    cents = F.lpad((F.abs("o_totalprice") * 100).cast("bigint").cast("string"), 9, "0")
+    cents = F.lpad((F.abs(F.col("o_totalprice").cast("decimal(18,2)")) * 100).cast("bigint").cast("string"), 9, "0")
     sign = F.when(F.col("o_orderstatus") == "F", "-").otherwise("+")
     day = F.col("o_orderdate")
     lines = [
@@ -303,7 +303,7 @@ def write_reports(spark: SparkSession, sf: str, path: str) -> None:
         F.concat(F.lit("Source-Identifier  \u0001"), F.col("o_orderpriority")),
         F.lit(""),
         F.lit("TCR 1 Record"),
-        F.concat(F.lit("  transaction   id        "), F.col("o_orderkey").cast("string")),
+        F.concat(F.lit("  transaction-id          "), F.col("o_orderkey").cast("string")),
         F.concat(F.lit("Account Num               "), F.lpad(F.col("o_custkey").cast("string"), 16, "4")),
         F.concat(F.lit("Settlement amount - Inter  "), sign, cents),
         F.concat(F.lit("TCQ                       "), F.col("o_orderstatus")),

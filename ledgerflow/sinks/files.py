@@ -6,6 +6,12 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Text formats drop microseconds unless told otherwise.
+FULL_TIME = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def write_csv(
     df: DataFrame,
@@ -15,12 +21,14 @@ def write_csv(
     mode: str = "overwrite",
     **options: Any,
 ) -> None:
-    df.write.mode(mode).options(header=header, sep=sep, **options).csv(path)
+    options = {**FULL_TIME, "header": header, "sep": sep, **options}
+    df.write.mode(mode).options(**options).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite", keep_nulls: bool = True) -> None:
     """JSON lines; missing values are written as null, not left out."""
-    df.write.mode(mode).option("ignoreNullFields", not keep_nulls).json(path)
+    options = {**FULL_TIME, "ignoreNullFields": not keep_nulls}
+    df.write.mode(mode).options(**options).json(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -32,14 +32,6 @@ def read_lines(
     )
 
 
-def _run_starts(file: pa.Array, block: np.ndarray) -> np.ndarray:
-    """True where a row begins another block than the row before it; the first row is open."""
-    codes = file.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    starts = np.zeros(len(block), dtype=bool)
-    starts[1:] = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
-    return starts
-
-
 def scan_blocks(
     lines: DataFrame, counts: dict[str, str] | None = None, carry: dict[str, str] | None = None
 ) -> DataFrame:
@@ -55,6 +47,14 @@ def scan_blocks(
     added += [T.StructField(n, T.StringType()) for n in carry]
     schema = T.StructType([*lines.schema.fields, *added])
 
+    # Everything the tasks run is nested here, so executors need no copy of this package.
+    def run_starts(file: pa.Array, block: np.ndarray) -> np.ndarray:
+        """True where a row begins another block than the row before it; the first row is open."""
+        codes = file.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        starts = np.zeros(len(block), dtype=bool)
+        starts[1:] = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
+        return starts
+
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here: tuple | None = None
         totals = dict.fromkeys([LINE, *counts], 0)
@@ -65,7 +65,7 @@ def scan_blocks(
                 continue
             file = batch.column(FILE)
             block = batch.column(BLOCK).to_numpy(zero_copy_only=False)
-            starts = _run_starts(file, block)
+            starts = run_starts(file, block)
             first = (file[0].as_py(), int(block[0]))
             if first != here:
                 totals = dict.fromkeys(totals, 0)
