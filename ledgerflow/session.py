@@ -58,6 +58,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -65,4 +68,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release_staged(spark: SparkSession) -> int:
+    """Delete what this process staged; call it once the job's results are written."""
+    count = len(_staged)
+    while _staged:
+        remove_path(spark, _staged.pop())
+    return count

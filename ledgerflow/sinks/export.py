@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
+from ledgerflow.session import remove_path
 from ledgerflow.sinks.files import write_csv, write_json
 from ledgerflow.templates import ExportTemplate
 
@@ -28,11 +29,6 @@ def _write(df: DataFrame, path: str, template: ExportTemplate, has_header: bool)
         write_csv(df, path, header=False, sep=template.separator, emptyValue="")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def export_datasets(
     datasets: list[DataFrame],
     names: list[str],
@@ -60,6 +56,6 @@ def export_datasets(
         _write(df.observe(counter, F.count(F.lit(1)).alias("n")), path, template, sheet.has_header)
         written = counter.get["n"]
         if not written:
-            _remove(spark, path)
+            remove_path(spark, path)
         rows.append((name, path, sheet.sheet_name or name, sheet.title, written, written > 0))
     return spark.createDataFrame(rows, MANIFEST)
