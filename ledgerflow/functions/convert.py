@@ -78,6 +78,8 @@ def _double_text(c: Column) -> Column:
         F.when(F.isnan(c), F.lit(""))
         .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
         .when(c == F.rint(c), whole)
+        # Between these bounds the cast writes no exponent.
+        .when(size.between(1e-3, 9999999.0), c.cast("string"))
         .when(size < 1e-4, tiny)
         .otherwise(plain)
     )

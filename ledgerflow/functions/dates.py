@@ -40,15 +40,23 @@ def _in_range(ts: Column) -> Column:
     return _epoch() + since
 
 
-def _read(text: Column, pattern: str, order: str, second: int | None = None) -> Column:
+def _read(
+    text: Column,
+    pattern: str,
+    order: str,
+    second: int | None = None,
+    sizes: tuple[int, int] | None = None,
+) -> Column:
     """Rearrange ``text`` to ISO order and cast.
 
-    Seconds are added on top, so that 60 and 61 run into the next minute.
+    Seconds are added on top, so that 60 and 61 run into the next minute. ``sizes`` are the text
+    lengths the pattern can match; others are not tried.
     """
     moment = F.regexp_replace(text, pattern, order).try_cast("timestamp_ntz")
     if second is not None:
         moment = moment + _seconds(F.regexp_extract(text, pattern, second))
-    return F.when(text.rlike(pattern), moment)
+    fits = text.rlike(pattern)
+    return F.when(F.length(text).between(*sizes) & fits if sizes else fits, moment)
 
 
 def timestamp_from_text(c: Column | str) -> Column:
@@ -58,16 +66,23 @@ def timestamp_from_text(c: Column | str) -> Column:
     ``yyyy/MM/dd`` and ``yyyy-MM-dd``.
     """
     text = F.btrim(as_column(c), F.lit(SPACES))
+    # The common form needs no rearranging; odd seconds and single digits go the longer way.
+    usual = "^[0-9]{4}([-/])[0-9]{2}\\1[0-9]{2} [0-9]{2}:[0-9]{2}:[0-5][0-9]$"
+    common = F.when(
+        (F.length(text) == 19) & text.rlike(usual),
+        F.translate(text, "/", "-").try_cast("timestamp_ntz"),
+    )
     separated = f"^{YEAR}([-/]){MONTH}\\2{DAY} {HOUR}:{MINUTE}:{SECOND}$"
     digits_day = f"^{YEAR}{MONTH}{DAY}$"
     digits_time = f"^{YEAR}{MONTH}{DAY}{HOUR}{MINUTE}{SECOND}$"
     day_only = "^([0-9]{4})([-/])([0-9]{2})\\2([0-9]{2})$"
     return _in_range(
         F.coalesce(
-            _read(text, separated, "$1-$3-$4 $5:$6:00", 7),
-            _read(text, digits_day, "$1-$2-$3"),
-            _read(text, digits_time, "$1-$2-$3 $4:$5:00", 6),
-            _read(text, day_only, "$1-$3-$4"),
+            common,
+            _read(text, separated, "$1-$3-$4 $5:$6:00", 7, sizes=(14, 19)),
+            _read(text, digits_day, "$1-$2-$3", sizes=(6, 8)),
+            _read(text, digits_time, "$1-$2-$3 $4:$5:00", 6, sizes=(9, 14)),
+            _read(text, day_only, "$1-$3-$4", sizes=(10, 10)),
         )
     )
 
