@@ -8,10 +8,18 @@ from ledgerflow.sources.jdbc import Database
 
 
 def write_options(
-    database: Database, table: str, truncate: bool = False, batch_size: int = 10_000
+    database: Database,
+    table: str,
+    truncate: bool = False,
+    batch_size: int = 10_000,
+    connections: int = 32,
 ) -> dict[str, str]:
-    """Options of a JDBC write; ``truncate`` empties the table instead of replacing it."""
+    """Options of a JDBC write; ``truncate`` empties the table instead of replacing it.
+
+    At most ``connections`` tasks write at a time, however many partitions the rows have.
+    """
     options = {"url": database.url, "dbtable": table, "batchsize": str(batch_size)}
+    options["numPartitions"] = str(connections)
     options.update(database.properties)
     if truncate:
         options["truncate"] = "true"

@@ -143,17 +143,21 @@ def import_delimited(
     template: ImportTemplate,
     strict: bool | None = None,
     file_column: str | None = None,
+    detect_encoding: bool = True,
 ) -> DataFrame:
     """Read text files into upper-cased, mapped text columns.
 
     Row and column windows, header fit and per-file encoding follow the template. ``strict`` (the
     default without sheet rules) stops the job at a row with more cells than there are columns;
-    otherwise the surplus is cut. Missing cells are NULL. Values stay text, so leading zeros
+    otherwise the surplus is cut. ``detect_encoding=False`` takes UTF-8 on trust and so saves the
+    pass that checks it. Missing cells are NULL. Values stay text, so leading zeros
     survive. A line break inside quotes is not supported. A missing path raises.
     """
     strict = not template.sheet_rules if strict is None else strict
     lines = read_lines(spark, paths)
-    rows = decode_lines(window_rows(lines, template), lines, template.encoding)
+    rows = window_rows(lines, template)
+    if detect_encoding or template.encoding:
+        rows = decode_lines(rows, lines, template.encoding)
 
     width = _width(template, rows)
     end = template.first_col + width
@@ -170,16 +174,19 @@ def import_delimited(
     schema = ", ".join(f"{c} string" for c in [*cells, "surplus"])
     options = {"sep": template.separator, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     parsed = rows.select("*", F.from_csv(VALUE, schema, options).alias("row"))
-    if strict and template.end_col == 0:
-        message = F.concat(F.lit(f"more than {end} cells in "), F.col(FILE), F.lit(": "), F.col(VALUE))
-        fits = F.when(F.col("row.surplus").isNull(), True).otherwise(
-            F.raise_error(message).cast("boolean")
-        )
-        parsed = parsed.filter(fits)
+    # The width check rides on every cell, so it runs whichever columns are read, and the line is
+    # parsed only once.
+    message = F.concat(F.lit(f"more than {end} cells in "), F.col(FILE), F.lit(": "), F.col(VALUE))
+    too_wide = F.col("row.surplus").isNotNull()
+    checked = strict and template.end_col == 0
 
     def cell(i: int) -> Column:
         value = F.col(f"row.c{i}")
-        return F.when(~value.isin(*MISSING_TEXTS), value)
+        if not checked:
+            return F.when(~value.isin(*MISSING_TEXTS), value)
+        return F.when(too_wide, F.raise_error(message).cast("string")).when(
+            ~value.isin(*MISSING_TEXTS), value
+        )
 
     # Header names beyond the data come out as NULL columns; cells beyond the header are cut.
     out = [

@@ -75,6 +75,12 @@ def read_jdbc(spark: SparkSession, database: Database, **how) -> DataFrame:
     return spark.read.format("jdbc").options(**read_options(database, **how)).load()
 
 
+def split_bounds(spark: SparkSession, database: Database, table: str, column: str) -> tuple:
+    """Lowest and highest value of a column, computed by the database, for a parallel read."""
+    query = f"SELECT min({column}) AS low, max({column}) AS high FROM {table}"
+    return tuple(read_jdbc(spark, database, query=query).head())
+
+
 def target_keys(target: DataFrame, load: LoadSettings) -> DataFrame | None:
     """Key columns the target already holds, or None unless the load is incremental.
 
