@@ -18,6 +18,9 @@ from ledgerflow.session import stage
 
 VALUE, FILE, BLOCK, LINE = "value", "file", "block", "line"
 
+# A block row is a path and a few numbers, so a million of them stay below some 300 MB.
+MAX_BROADCAST_BLOCKS = 1_000_000
+
 
 def read_lines(
     spark: SparkSession, paths: str | list[str], line_sep: str | None = None
@@ -111,7 +114,8 @@ def carry_over_blocks(
 
     Stages the scanned lines, so that the block totals and the lines come from the same read, then
     joins one row per block back. Blocks follow each other by their start in the file. The block
-    rows are staged as well: their real size then decides between a broadcast and a shuffle.
+    rows are staged and counted: up to a limit they are broadcast, so that the lines do not move;
+    beyond it the join shuffles by block.
     """
     carry = carry or []
     staged = stage(scanned, "lines")
@@ -127,7 +131,10 @@ def carry_over_blocks(
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before_{c}") for c in counts],
         *[F.last(c, ignorenulls=True).over(before).alias(f"_before_{c}") for c in carry],
     )
-    joined = staged.join(stage(offsets, "blocks"), [FILE, BLOCK], "left")
+    kept = stage(offsets, "blocks")
+    if kept.count() <= MAX_BROADCAST_BLOCKS:
+        kept = F.broadcast(kept)
+    joined = staged.join(kept, [FILE, BLOCK], "left")
     moved = {c: F.col(c) + F.col(f"_before_{c}") for c in counts}
     moved |= {c: F.coalesce(F.col(c), F.col(f"_before_{c}")) for c in carry}
     return joined.withColumns(moved).select(*scanned.columns)
