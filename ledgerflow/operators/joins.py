@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ONLY_LEFT, ONLY_RIGHT, MATCH, AMOUNT_DIFF = "ONLY_LEFT", "ONLY_RIGHT", "MATCH", "AMOUNT_DIFF"
 
@@ -44,15 +44,25 @@ def new_rows(incoming: DataFrame, target: DataFrame, keys: list[str]) -> DataFra
     """Rows of ``incoming`` whose key the target does not hold yet.
 
     Names are upper-cased, keys are compared as text, and a missing key counts as a value of its
-    own. Duplicates within ``incoming`` stay.
+    own. Duplicates within ``incoming`` stay. Keys whose types make the comparison the same without
+    the text are left as they are, since numbers sort and hash faster.
     """
     left, right = upper_columns(incoming), upper_columns(target)
     names = [k.upper() for k in keys]
     _check_keys(names, left, right)
+    kinds = [_text_equal_type(left.schema[n].dataType, right.schema[n].dataType) for n in names]
     right_keys = right.select(
-        *[F.col(n).cast("string").alias(f"_key_{i}") for i, n in enumerate(names)]
+        *[F.col(n).cast(kind).alias(f"_key_{i}") for i, (n, kind) in enumerate(zip(names, kinds))]
     )
-    return _anti(left, right_keys, [left[n].cast("string") for n in names])
+    return _anti(left, right_keys, [left[n].cast(kind) for n, kind in zip(names, kinds)])
+
+
+def _text_equal_type(left: T.DataType, right: T.DataType) -> T.DataType:
+    """A type in which two values are equal exactly when their texts are."""
+    if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
+        return T.LongType()
+    exact = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+    return left if left == right and isinstance(left, exact) else T.StringType()
 
 
 def missing_from(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

@@ -14,6 +14,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Join by hash, without sorting the large side, when every build partition stays this small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The JVM does not optimise methods above 8000 bytes; split wide projections below that.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -34,6 +34,15 @@ def test_new_rows_equals_a_plain_model(spark):
     assert sorted(r.N for r in out) == [n for a, b, n in left if (a, b) not in set(right)]
 
 
+def test_number_keys_are_compared_without_text(spark):
+    incoming = spark.createDataFrame([(1, 1.0), (2, 2.5), (None, None)], "k bigint, v double")
+    target = spark.createDataFrame([(2, 2.5), (None, 7.0)], "k int, v double")
+    out = joins.new_rows(incoming, target, ["k"])
+    assert [r.K for r in out.collect()] == [1] and "as string" not in plan_of(out)
+    both = joins.new_rows(incoming, target, ["k", "v"])
+    assert {r.K for r in both.collect()} == {1, None}
+
+
 def test_new_rows_needs_its_keys(spark):
     rows = spark.sql("SELECT 1 AS a")
     with pytest.raises(KeyError, match="B"):
