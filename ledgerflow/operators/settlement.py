@@ -119,7 +119,7 @@ def map_labels(df: DataFrame, label: str, into: str = "header") -> DataFrame:
 
 
 def split_reports(lines: DataFrame, name: Column) -> DataFrame:
-    """Lines to ``(file, record, line, label, text)``, plus the page dates and report name.
+    """Lines to file, record, line, label and text, plus the page dates and report name.
 
     The latter come as labels of their own, one set per record. Lines above the first record of a
     file belong to none and are left out.

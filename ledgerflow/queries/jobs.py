@@ -25,7 +25,7 @@ from ledgerflow.templates import INCREMENTAL, ExportTemplate, ImportTemplate, Lo
 ranked AS (
   SELECT *, sha256(concat_ws('_', email, phone)) AS unique_key, row_number() OVER (
     PARTITION BY email, phone ORDER BY load_time DESC, source, row_id DESC) AS n FROM bronze)
-SELECT unique_key, full_name AS "SOT_CustomerName", phone, email, address
+SELECT unique_key, full_name AS "customer_name", phone, email, address
 FROM ranked WHERE n = 1 AND full_name IS NOT NULL AND phone IS NOT NULL""")
 def golden_record(spark, sf):
     """Customers, and what their orders say about them, to one record per customer."""
@@ -57,7 +57,7 @@ def golden_record(spark, sf):
         required=["full_name", "phone"],
         newest_first=[F.desc("load_time")],
         tie_break=[F.asc("source"), F.desc("row_id")],
-        renames={"full_name": "SOT_CustomerName"},
+        renames={"full_name": "customer_name"},
     )
 
 

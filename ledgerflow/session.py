@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,9 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    local = tempfile.mkdtemp(prefix="ledgerflow-")
-    spark.conf.set(CHECKPOINT_DIR, local)
-    return local
+    return _local_folder()
+
+
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerflow-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -57,11 +57,12 @@ def decode_lines(rows: DataFrame, lines: DataFrame, encoding: str | None) -> Dat
 
 def _is_filled(template: ImportTemplate) -> Column:
     """Whether a line holds anything; under sheet rules a row of empty cells is empty as well."""
-    if template.sheet_rules:
-        sep = re.escape(template.separator)
-        return ~F.col(VALUE).rlike(rf'^(?:\s|"|{sep})*$')
     blanks = " " if template.separator == "\t" else " \t"
-    return F.btrim(F.col(VALUE), F.lit(blanks + "\r")) != ""
+    filled = F.btrim(F.col(VALUE), F.lit(blanks + "\r")) != ""
+    if not template.sheet_rules:
+        return filled
+    cells = F.replace(F.col(VALUE), F.lit(template.separator), F.lit(""))
+    return filled & (F.replace(cells, F.lit('"'), F.lit("")) != "")
 
 
 def window_rows(lines: DataFrame, template: ImportTemplate) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 
 from ledgerflow.session import stage
 
-VALUE, FILE, BLOCK, LINE = "value", "file", "block", "line"
+# Underscores keep these apart from the partition columns of a folder.
+VALUE, FILE, BLOCK, LINE = "value", "_file", "_block", "_line"
 
 # A block row is a path and a few numbers, so a million of them stay below some 300 MB.
 MAX_BROADCAST_BLOCKS = 1_000_000
@@ -40,7 +41,7 @@ def scan_blocks(
 ) -> DataFrame:
     """Running values inside each block, in one narrow pass.
 
-    Adds ``line`` (1, 2, 3... in the block), a running count per flag column
+    Adds ``LINE`` (1, 2, 3... in the block), a running count per flag column
     (``counts={new: flag}``) and the last value seen per text column (``carry={new: column}``).
     Must come before any shuffle, since it relies on the order of the file.
     """

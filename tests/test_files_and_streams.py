@@ -37,8 +37,8 @@ def test_csv_forms(spark, tmp_path):
 
 def test_missing_rows_and_reports(spark):
     flights = spark.createDataFrame(
-        [(1, "UA", "SFO", 120.0, 5.0), (2, "AA", "JFK", 55.0, None), (3, "DL", "ORD", 90.0, 15.0),
-         (4, "WN", None, 70.0, 0.0), (5, "UA", "LAX", None, 20.0), (6, "AA", "BOS", 65.0, None)],
+        [(11, "QX", "HAN", 80.0, 2.0), (12, "QY", None, 75.0, 9.0), (13, "QX", "SGN", 61.0, None),
+         (14, "QZ", "DAD", 44.0, 0.0), (15, "QZ", "HUI", 52.0, None), (16, "QY", "PQC", None, 31.0)],
         "id int, carrier string, org string, duration double, delay double",
     )
     assert clean.count_missing(flights, "delay").collect()[0].missing == 2

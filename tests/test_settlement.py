@@ -5,7 +5,6 @@ import random
 from decimal import Decimal
 
 from conftest import plan_of
-from pyspark.sql import functions as F
 
 from ledgerflow.operators.settlement import (
     REPORT_HEADER,
@@ -17,21 +16,21 @@ from ledgerflow.operators.settlement import (
 from ledgerflow.plans.jobs import import_reports
 
 SAMPLE = """
-SOME HEADER LINE
-SYSTEM DATE 11/03/25   CPD 11/03/25
-SOME OTHER LINE
+ACME CLEARING HOUSE
+SYSTEM DATE 05/17/24   CPD 05/18/24
+DAILY DETAIL
 
 TCR 0 Record
-Destination Identifier      1234567890
-Source Identifier           ABCDEF
+Destination Identifier      5550001234
+Source Identifier           QWERTY
 
 TCR 1 Record
-Transaction ID              999999
-Account Number              4111111111111111
-Purchase Date               20251103
-Settlement amount - Inter  -000000678
-Source Amount              +000012345
-Interchange Fee Amount     000000123
+Transaction ID              31337
+Account Number              4000000000000002
+Purchase Date               20240515
+Settlement amount - Inter  -000000987
+Source Amount              +000054321
+Interchange Fee Amount     000000456
 """
 
 
@@ -43,19 +42,20 @@ def put(tmp_path, name, text):
 
 
 def test_sample_report(spark, tmp_path):
-    path = put(tmp_path, "20251103_REPORT.TXT", SAMPLE)
+    path = put(tmp_path, "20240519_REPORT.TXT", SAMPLE)
     put(tmp_path, "notes.txt", "TCR 0 Record\nTransaction ID  1\nTransaction ID  2\n")
     out = {r["Transaction ID"]: r for r in read_reports(spark, path).collect()}
-    assert set(out) == {"999999", "1"}
-    row = out["999999"]
+    assert set(out) == {"31337", "1"}
+    row = out["31337"]
     assert tuple(row.asDict()) == REPORT_HEADER and len(REPORT_HEADER) == 51
-    assert row["Record Date"] == row["CPD"] == row["System Date"] == "20251103"
-    assert row["Destination Identifier"] == "1234567890" and row["Source Identifier"] == "ABCDEF"
-    assert row["Account Number"] == "4111111111111111"
-    assert row["Purchase Date"] == dt.datetime(2025, 11, 3)
-    assert row["Source Amount"] == Decimal(12345)
-    assert row["Settlement amount - Inter"] == Decimal(-678)
-    assert row["Interchange Fee Amount"] == Decimal(123)
+    dates = (row["Record Date"], row["CPD"], row["System Date"])
+    assert dates == ("20240519", "20240518", "20240517")
+    assert row["Destination Identifier"] == "5550001234" and row["Source Identifier"] == "QWERTY"
+    assert row["Account Number"] == "4000000000000002"
+    assert row["Purchase Date"] == dt.datetime(2024, 5, 15)
+    assert row["Source Amount"] == Decimal(54321)
+    assert row["Settlement amount - Inter"] == Decimal(-987)
+    assert row["Interchange Fee Amount"] == Decimal(456)
     assert out["1"]["Record Date"] is None and out["1"]["CPD"] is None
 
 
