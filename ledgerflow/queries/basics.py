@@ -73,11 +73,17 @@ def drop_columns(spark, sf):
     return clean.drop_columns(table(spark, sf, "supplier"), "s_acctbal")
 
 
-@query("SELECT n_nationkey, n_name, 'CoreBanking' AS source, TRUE AS has_load_time FROM nation")
+@query("""SELECT c_custkey, c_name, 'CoreBanking' AS source, TRUE AS has_load_time,
+       TRUE AS same_as_text FROM customer""")
 def tag_source(spark, sf):
-    rows = clean.add_source(table(spark, sf, "nation"), "CoreBanking")
+    rows = clean.add_source(table(spark, sf, "customer"), "CoreBanking")
+    as_text = F.date_format("load_time", "yyyy-MM-dd HH:mm:ss")
     return rows.select(
-        "n_nationkey", "n_name", "source", F.col("load_time").isNotNull().alias("has_load_time")
+        "c_custkey",
+        "c_name",
+        "source",
+        F.col("load_time").isNotNull().alias("has_load_time"),
+        (as_text == clean.load_time_text()).alias("same_as_text"),
     )
 
 

@@ -222,3 +222,31 @@ def header_map(spark, sf):
         ["Part No", " name ", "brand", "kind"],
         {"part no": "part_id", "NAME": "Part_Name"},
     )
+
+
+@query(r"""SELECT doc_id, regexp_replace(text, '[\x00-\x08\x0B-\x1F\x7F]', '', 'g') AS cleaned
+FROM documents""")
+def clean_lines(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", text.clean_line("text").alias("cleaned"))
+
+
+@query(r"""SELECT conv_id, turn,
+       trim(regexp_replace(lower(role || ' -  ' || replace(strip_accents(text), 'Đ', 'D')), '[\s\-]+', ' ', 'g'), ' ') AS label
+FROM conversations""")
+def normalise_labels(spark, sf):
+    plain = F.replace(text.strip_accents("text"), F.lit("Đ"), F.lit("D"))
+    label = F.concat("role", F.lit(" -  "), plain)
+    return table(spark, sf, "conversations").select(
+        "conv_id", "turn", text.normalise_label(label).alias("label")
+    )
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS file_date, CAST(NULL AS VARCHAR) AS none
+FROM orders""")
+def file_dates(spark, sf):
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        text.file_date(F.concat(day, F.lit("_REPORT.TXT"))).alias("file_date"),
+        text.file_date(F.concat(F.lit("REPORT_"), day)).alias("none"),
+    )

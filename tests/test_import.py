@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pytest
-from pyspark.sql import functions as F
+from pyspark import cloudpickle
+from pyspark.sql import functions as F, types as T
 
 from ledgerflow.sources.delimited import (
     fit_staging_slots,
@@ -66,6 +70,23 @@ def test_small_arrow_batches_change_nothing(spark, tmp_path, small_blocks):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """What executors run must load where only the public libraries are installed."""
+    taken = {}
+
+    class Lines:
+        schema = T.StructType([T.StructField(FILE, T.StringType()), T.StructField(BLOCK, T.LongType())])
+
+        def mapInArrow(self, function, schema):
+            taken["function"] = function
+
+    scan_blocks(Lines())
+    (tmp_path / "task.pickle").write_bytes(cloudpickle.dumps(taken["function"]))
+    code = "import pickle; print(pickle.load(open('task.pickle', 'rb')).__name__)"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.stdout.strip() == "number", done.stderr
+
+
 def test_sheet_window_and_mapping(spark, tmp_path):
     header = [f"Col {i}" for i in range(1, 22)]
     lines = [
