@@ -86,7 +86,7 @@ SYSTEM_DATE = r"SYSTEM DATE\s+(\d{2}/\d{2}/\d{2})"
 PROCESSING_DATE = r"\bCPD\s+(\d{2}/\d{2}/\d{2})"
 GAP = r"\s{2,}"
 
-RECORD = "record"
+REPORT, RECORD = "report_no", "record"
 # Values of a record that come from around it, not from its lines.
 PAGE_SYSTEM, PAGE_CPD, REPORT_NAME = "#system", "#cpd", "#name"
 SLOTS = (*REPORT_HEADER, PAGE_SYSTEM, PAGE_CPD, REPORT_NAME)
@@ -119,7 +119,7 @@ def map_labels(df: DataFrame, label: str, into: str = "header") -> DataFrame:
 
 
 def split_reports(lines: DataFrame, name: Column) -> DataFrame:
-    """Lines to file, record, line, label and text, plus the page dates and report name.
+    """Lines to report, record, line, label and text, plus the page dates and report name.
 
     The latter come as labels of their own, one set per record. Lines above the first record of a
     file belong to none and are left out.
@@ -149,7 +149,9 @@ def split_reports(lines: DataFrame, name: Column) -> DataFrame:
     useful = scanned.filter(
         F.col("starts") | paired | F.col("system_date").isNotNull() | F.col("cpd").isNotNull()
     )
-    carried = carry_over_blocks(useful, [LINE, RECORD], ["page_system", "page_cpd"])
+    carried = carry_over_blocks(
+        useful, [LINE, RECORD], ["page_system", "page_cpd"], file_number=REPORT
+    )
 
     def entry(label: Column, value: Column) -> Column:
         return F.struct(label.alias("label"), value.alias("text"))
@@ -163,8 +165,8 @@ def split_reports(lines: DataFrame, name: Column) -> DataFrame:
     entries = F.when(F.col("starts"), opening).when(paired, own)
     return (
         carried.filter(F.col(RECORD) > 0)
-        .select(FILE, RECORD, LINE, F.explode(entries).alias("e"))
-        .select(FILE, RECORD, LINE, "e.label", "e.text")
+        .select(REPORT, RECORD, LINE, F.explode(entries).alias("e"))
+        .select(REPORT, RECORD, LINE, "e.label", "e.text")
     )
 
 
@@ -179,12 +181,12 @@ def parse_reports(lines: DataFrame, name: Column) -> DataFrame:
     fields = map_labels(split_reports(lines, name), "label")
     slot = F.array_position(F.lit(list(SLOTS)), F.col("header")).cast("int").alias("slot")
     firsts = (
-        fields.select(FILE, RECORD, LINE, slot, "text")
-        .groupBy(FILE, RECORD, "slot")
+        fields.select(REPORT, RECORD, LINE, slot, "text")
+        .groupBy(REPORT, RECORD, "slot")
         .agg(F.min_by("text", LINE).alias("text"))
     )
     values = F.map_from_entries(F.collect_list(F.struct("slot", "text"))).alias("values")
-    records = firsts.groupBy(FILE, RECORD).agg(values)
+    records = firsts.groupBy(REPORT, RECORD).agg(values)
 
     def found(header: str) -> Column:
         return F.try_element_at("values", F.lit(SLOTS.index(header) + 1))

@@ -109,14 +109,18 @@ def scan_blocks(
 
 
 def carry_over_blocks(
-    scanned: DataFrame, counts: list[str], carry: list[str] | None = None
+    scanned: DataFrame,
+    counts: list[str],
+    carry: list[str] | None = None,
+    file_number: str | None = None,
 ) -> DataFrame:
     """Turn running values per block into running values per file.
 
     Stages the scanned lines, so that the block totals and the lines come from the same read, then
     joins one row per block back. Blocks follow each other by their start in the file. The block
     rows are staged and counted: up to a limit they are broadcast, so that the lines do not move;
-    beyond it the join shuffles by block.
+    beyond it the join shuffles by block. ``file_number`` adds a number per file under that name, a
+    shorter key than the path for later steps.
     """
     carry = carry or []
     staged = stage(scanned, "lines")
@@ -126,9 +130,12 @@ def carry_over_blocks(
         *[F.max_by(c, staged[LINE]).alias(c) for c in carry],
     )
     before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
+    # Each block row draws a number of its own, so the lowest per file is the file's own.
+    lowest = F.min("_drawn").over(Window.partitionBy(FILE))
+    offsets = blocks.withColumn("_drawn", F.monotonically_increasing_id()).select(
         FILE,
         BLOCK,
+        *([lowest.alias(file_number)] if file_number else []),
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before_{c}") for c in counts],
         *[F.last(c, ignorenulls=True).over(before).alias(f"_before_{c}") for c in carry],
     )
@@ -138,4 +145,5 @@ def carry_over_blocks(
     joined = staged.join(kept, [FILE, BLOCK], "left")
     moved = {c: F.col(c) + F.col(f"_before_{c}") for c in counts}
     moved |= {c: F.coalesce(F.col(c), F.col(f"_before_{c}")) for c in carry}
-    return joined.withColumns(moved).select(*scanned.columns)
+    added = [file_number] if file_number else []
+    return joined.withColumns(moved).select(*scanned.columns, *added)
