@@ -231,7 +231,8 @@ def clean_lines(spark, sf):
 
 
 @query(r"""SELECT conv_id, turn,
-       trim(regexp_replace(lower(role || ' -  ' || replace(strip_accents(text), 'Đ', 'D')), '[\s\-]+', ' ', 'g'), ' ') AS label
+       trim(regexp_replace(lower(role || ' -  ' || replace(strip_accents(text), 'Đ', 'D')),
+                           '[\s\-]+', ' ', 'g'), ' ') AS label
 FROM conversations""")
 def normalise_labels(spark, sf):
     plain = F.replace(text.strip_accents("text"), F.lit("Đ"), F.lit("D"))
