@@ -13,7 +13,7 @@ from conftest import SMALL, plan_of
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as contract  # noqa: E402
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from ledgerflow.queries import ORACLES, QUERIES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +33,11 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert compare(QUERIES[name](spark, SMALL), duck.sql(ORACLES[name])) == []
 
 
+def test_contract_lists_every_query_and_its_sql():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 def test_flagship(spark):
     assert contract.entry(spark).count() > 0
 
