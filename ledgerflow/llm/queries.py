@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerflow.llm import mixing, warc
 from ledgerflow.llm.common import table
 from ledgerflow.llm.packing import pack
 from ledgerflow.llm.token_files import read_token_files, token_file_folder, write_token_files
+from ledgerflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,3 +41,18 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, token_file_folder(docs), vocabulary("word_bpe_49k.json"), keeps_space=False, end_id=1
     )
     return read_token_files(written, keep_ids=False)
+
+
+@register
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.archive_report(spark, folder)
+
+
+ORACLES |= {"op6_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE}
