@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import mixing, warc
+from ledgerflow.llm import mixing, toxicity, warc
 from ledgerflow.llm.common import table
 from ledgerflow.llm.packing import pack
 from ledgerflow.llm.token_files import read_token_files, token_file_folder, write_token_files
@@ -56,3 +56,10 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES |= {"op6_mixing": mixing.ORACLE, "op9_warc": warc.ORACLE}
+
+
+@register
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
