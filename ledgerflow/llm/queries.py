@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import mixing, toxicity, warc
+from ledgerflow.llm import mixing, toxicity, vector_topk, warc
 from ledgerflow.llm.common import table
 from ledgerflow.llm.packing import pack
 from ledgerflow.llm.token_files import read_token_files, token_file_folder, write_token_files
@@ -63,3 +63,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+@register
+def op1_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_topk.top_scores(table(spark, sf_dir, "embeddings"), k=20, step=20)
+
+
+ORACLES["op1_vector_topk"] = vector_topk.ORACLE
