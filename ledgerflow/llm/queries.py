@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import mixing, toxicity, vector_topk, warc
+from ledgerflow.llm import cap_dedup, mixing, toxicity, vector_topk, warc
 from ledgerflow.llm.common import table
 from ledgerflow.llm.packing import pack
 from ledgerflow.llm.token_files import read_token_files, token_file_folder, write_token_files
@@ -71,3 +71,11 @@ def op1_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op1_vector_topk"] = vector_topk.ORACLE
+
+
+@register
+def op4_cap_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op4_cap_dedup"] = cap_dedup.ORACLE
