@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerflow.llm.common import ship
 from ledgerflow.llm.components import connected_components
-from ledgerflow.llm.pairs import allowed_pairs, deal_buckets, groups, local_roots
+from ledgerflow.llm.pairs import allowed_pairs, cut_buckets, deal, groups, local_roots
 from ledgerflow.session import stage
 
 COSINE = 0.98
@@ -185,11 +185,12 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
     )
     named = stage(named.distinct(), "cap-filters")
     shared = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    kept = named.join(shared.select("bucket"), "bucket")
+    kept = stage(named.join(shared.select("bucket"), "bucket"), "cap-buckets")
     lists = kept.groupBy("id").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
     full = lists.join(classes.select("id", "copies", "embedding"), "id")
-    members = full.select(F.explode("buckets").alias("bucket"), "id", "copies", "buckets", "embedding")
-    found = stage(deal_buckets(members).mapInArrow(_compare, FOUND), "cap-links")
+    members = cut_buckets(kept).select("bucket", "one", "two", "own", "id").join(full, "id")
+    members = members.select("bucket", "one", "two", "own", "id", "copies", "buckets", "embedding")
+    found = stage(deal(members).mapInArrow(_compare, FOUND), "cap-links")
 
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     edges = found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))

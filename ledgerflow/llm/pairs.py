@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 BLOCK_ROWS = 1024
 
 
-def deal_buckets(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Rows of every bucket with two rows or more, dealt out and sorted for ``groups``.
+def cut_buckets(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Rows of every bucket with two rows or more, with the group of rows they are compared in.
 
     ``rows`` has ``bucket`` and ``id``, both long. A bucket of more than ``block_rows`` rows is cut
     into blocks by hash of the id, and every pair of blocks becomes a group of its own, so no task
@@ -25,11 +25,16 @@ def deal_buckets(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     )
     owned = sized.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    paired = owned.withColumn("other", other).select(
+    return owned.withColumn("other", other).select(
         "bucket", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"),
         "own", *[c for c in rows.columns if c != "bucket"],
     )
-    return paired.repartition("bucket", "one", "two").sortWithinPartitions("bucket", "one", "two")
+
+
+def deal(cut: DataFrame) -> DataFrame:
+    """Every group of ``cut_buckets`` in one task, its rows in sequence, for ``groups``."""
+    keys = ["bucket", "one", "two"]
+    return cut.repartition(*keys).sortWithinPartitions(*keys)
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: int = 3) -> Iterator[pa.Table]:
