@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bayes_join, cap_dedup, mixing, toxicity, vector_topk, warc
+from ledgerflow.llm import bayes_join, cap_dedup, mixing, recompression, toxicity, vector_topk, warc
 from ledgerflow.llm.common import table
 from ledgerflow.llm.packing import pack
 from ledgerflow.llm.token_files import read_token_files, token_file_folder, write_token_files
@@ -84,3 +84,11 @@ ORACLES["op4_cap_dedup"] = cap_dedup.ORACLE
 @register
 def op2_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.repeats_report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_recompression"] = recompression.ORACLE
