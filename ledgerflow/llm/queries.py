@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerflow.llm import bayes_join, cap_dedup, mixing, recompression, toxicity, vector_topk, warc
+from ledgerflow.llm import (
+    bayes_join,
+    cap_dedup,
+    log_bilinear,
+    mixing,
+    recompression,
+    toxicity,
+    vector_topk,
+    warc,
+)
 from ledgerflow.llm.common import table
 from ledgerflow.llm.packing import pack
 from ledgerflow.llm.token_files import read_token_files, token_file_folder, write_token_files
@@ -92,3 +101,8 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_recompression"] = recompression.ORACLE
+
+
+@register
+def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.score_documents(table(spark, sf_dir, "documents"))
