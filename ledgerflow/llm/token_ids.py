@@ -1,28 +1,53 @@
 """Ids of whole texts by a public tokenizer of the ``tokenizers`` library.
 
 Encoding a text in one call is slow when most words are new to the library's small cache. Texts are
-therefore cut where no token can cross, the library encodes each distinct unit once, and a bounded
-dictionary remembers its ids. Units that are not plainly safe to cut go to the library uncut.
+therefore cut at spaces and line feeds that no token can cross, the library encodes each distinct
+unit once, and a bounded dictionary remembers its ids. A unit of plain letters goes straight to the
+library's model, any other through its whole pipeline. Parts of a text that are not plainly safe to
+cut (repeated white space, tabs and the like) are encoded uncut.
 """
 
 from __future__ import annotations
 
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
-#: Units remembered by one Python worker, about 250 bytes each; the dictionary restarts when full.
+#: Units remembered by one Python worker, about 200 bytes each; the dictionary restarts when full.
 MAX_UNITS = 800_000
 #: Longer units are not remembered.
 LONG_UNIT = 64
 #: Marks that the tokenizers' patterns always part from letters.
 MARKS = ".,;:!?"
-#: Letters below this are of the same class in every Unicode version.
+#: Letters below this are of the same class and composition in every Unicode version.
 LATIN_END = "ɐ"
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies spell bytes: printable Latin-1 stands for
+    itself, the other bytes take the letters from U+0100 on, in order."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class Units(dict):
+    """Ids by unit, learnt when first asked for."""
+
+    def __init__(self, learn: Callable[[str], bytes]) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.learn(unit)
+        if len(unit) <= LONG_UNIT:
+            self[unit] = ids
+        return ids
+
+
 class UnitEncoder:
     """``keeps_space``: a space belongs to the word after it (byte-level vocabularies); otherwise
-    white space only separates words."""
+    white space only separates words and case is folded."""
 
     def __init__(self, path: str, keeps_space: bool, max_units: int = MAX_UNITS) -> None:
         from tokenizers import Tokenizer
@@ -30,13 +55,28 @@ class UnitEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # The text of a special token is ordinary text.
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.keeps_space, self.max_units = keeps_space, max_units
-        self.units: dict[str, bytes] = {}
-        self.newline = self._library(["\n"])[0] if keeps_space else b""
+        self.letters = byte_letters()
+        self.marks = {mark: self._library(mark) for mark in MARKS}
+        self.newline = self._library("\n") if keeps_space else b""
+        self.first = Units(self._learn)
+        self.after = Units(lambda unit: self._learn(f" {unit}"))
+
+    def _library(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [array("I", one.ids).tobytes() for one in found]
+    def _learn(self, unit: str) -> bytes:
+        core, mark = (unit[:-1], unit[-1]) if unit[-1:] in self.marks else (unit, "")
+        bare = core[1:] if core[:1] == " " else core
+        if bare.isalpha() and max(bare) < LATIN_END:
+            if not self.keeps_space:
+                core = bare.lower()
+            if self.keeps_space or core.isalpha():
+                spelt = core.encode("utf-8").decode("latin-1").translate(self.letters)
+                ids = array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
+                return ids + self.marks[mark] if mark else ids
+        return self._library(unit)
 
     def _segments(self, text: str) -> list[str]:
         """Parts of a text between line feeds that have no white space beside them."""
@@ -53,60 +93,21 @@ class UnitEncoder:
         out.append(current)
         return out
 
-    def _cut(self, text: str) -> list[list[str]]:
-        """Per segment its units: the first, then each with the space before it left out."""
-        if not self.keeps_space:
-            return [text.replace("\n", " ").split(" ")]
-        out = []
-        for segment in self._segments(text):
-            units = segment.split(" ")
-            if "" in units or len(segment.split()) != len(units):
-                units = [segment]
-            out.append(units)
-        return out
-
-    def _learn(self, keys: set[str]) -> None:
-        """Encode units that are not known yet. Keys hold the space that precedes the unit."""
-        todo: dict[str, list[tuple[str, str]]] = {}
-        for key in keys:
-            core, mark = key, ""
-            if key and key[-1] in MARKS:
-                bare = key[:-1].strip(" ")
-                if bare.isalpha() and max(bare) < LATIN_END and len(key) - len(bare) <= 2:
-                    core, mark = key[:-1], key[-1]
-            if not self.keeps_space and core.isascii():
-                core = core.lower()
-            todo.setdefault(core, []).append((key, mark))
-        fresh = [core for core in todo if core not in self.units]
-        marks = dict(zip(MARKS, self._library(list(MARKS)))) if todo else {}
-        ids = dict(zip(fresh, self._library(fresh))) if fresh else {}
-        for core, wanted in todo.items():
-            found = ids[core] if core in ids else self.units[core]
-            for key, mark in wanted:
-                self.units[key] = found + marks[mark] if mark else found
+    def _segment(self, segment: str) -> bytes:
+        units = segment.split(" ")
+        if "" in units or len(segment.split()) != len(units):
+            return self._library(segment)
+        return self.first[units[0]] + b"".join(map(self.after.__getitem__, units[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        if len(self.units) > self.max_units:
-            self.units.clear()
-        cut = [self._cut(text) for text in texts]
-        missing: set[str] = set()
+        if len(self.first) + len(self.after) > self.max_units:
+            self.first.clear()
+            self.after.clear()
         if self.keeps_space:
-            # Units that follow a space are known by a dictionary of their own spelling.
-            for segments in cut:
-                for k, units in enumerate(segments):
-                    segments[k] = units[:1] + [f" {unit}" for unit in units[1:]]
-        for segments in cut:
-            for units in segments:
-                missing |= set(units).difference(self.units)
-        if missing:
-            self._learn(missing)
-        get, newline = self.units.__getitem__, self.newline
-        out = [newline.join(b"".join(map(get, units)) for units in one) for one in cut]
-        for unit in missing:
-            if len(unit) > LONG_UNIT:
-                del self.units[unit]
-        return out
+            return [self.newline.join(map(self._segment, self._segments(t))) if t else b"" for t in texts]
+        get = self.first.__getitem__
+        return [b"".join(map(get, text.replace("\n", " ").split(" "))) for text in texts]
 
 
 @lru_cache(maxsize=2)
