@@ -234,7 +234,8 @@ def read_token_files(written: DataFrame, keep_ids: bool = True) -> DataFrame:
                 )
 
     shown = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids
-    spread = based.select("path", "base").repartition("path")
+    # One file a task, as far as that goes; a given number is not coalesced again.
+    spread = based.select("path", "base").repartition(max(1, min(written.count(), 10_000)))
     return spread.mapInArrow(read, shown)
 
 
