@@ -22,44 +22,55 @@ from ledgerflow.llm.pairs import allowed_pairs, cut_buckets, deal, groups, local
 from ledgerflow.session import stage
 
 COSINE = 0.98
-#: Code words of each half; their pairs are the filters of one code.
+#: Code words of each half, at most; their pairs are the filters of one code.
 WORDS = 1024
 #: Independent codes, each with a rotation of its own.
 CODES = 6
 #: Share of random vectors that pass a filter; a vector passes WORDS^2 times that many, on average.
 PASS = 7e-6
+#: Caps are not narrower than this, and shorter vectors are filled up with zeros to LEAST_SIZE.
+HIGHEST, LEAST_SIZE = 0.9, 8
+
+
+@lru_cache(maxsize=8)
+def cap(size: int) -> tuple[float, int]:
+    """Height of the caps for vectors of ``size`` components, and code words of each half.
+
+    A random unit vector reaches the height with probability PASS; where few components make that a
+    narrower cap than linked vectors need, the height is HIGHEST and there are fewer words.
+    """
+    # The exact law of one coordinate of a random unit vector.
+    grid = np.linspace(0.0, 1.0, 200_001)
+    density = np.maximum(1.0 - grid**2, 0.0) ** ((size - 3) / 2)
+    tail = np.cumsum(density[::-1])[::-1] / (2 * density.sum())
+    height = min(float(grid[np.searchsorted(-tail, -PASS)]), HIGHEST)
+    share = float(tail[np.searchsorted(grid, height)])
+    return height, min(WORDS, int(np.ceil(WORDS * np.sqrt(PASS / share))))
 
 
 @lru_cache(maxsize=8)
 def product_codes(size: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Rotation and the code words of both halves, for vectors of ``size`` components."""
-    half = (size + 1) // 2
+    half, words = (size + 1) // 2, cap(size)[1]
     out = []
     for code in range(CODES):
         draw = np.random.default_rng([size, code])
         rotation = np.linalg.qr(draw.standard_normal((size, size)))[0]
-        words = draw.standard_normal((2, WORDS, half))
-        words[1, :, size - half :] = 0.0
-        words /= np.maximum(np.linalg.norm(words, axis=2, keepdims=True), 1e-300) * np.sqrt(2.0)
-        out.append((rotation, words[0], words[1, :, : size - half]))
+        sides = []
+        for columns in (half, size - half):
+            side = draw.standard_normal((words, columns))
+            sides.append(side / (np.linalg.norm(side, axis=1, keepdims=True) * np.sqrt(2.0)))
+        out.append((rotation, *sides))
     return out
 
 
-@lru_cache(maxsize=8)
-def cap_height(size: int) -> float:
-    """Height that a random unit vector of ``size`` components reaches with probability PASS."""
-    # By symmetry, sampled from the exact law of one coordinate: its square is Beta distributed.
-    grid = np.linspace(0.0, 1.0, 200_001)
-    density = np.maximum(1.0 - grid**2, 0.0) ** ((size - 3) / 2) if size > 2 else np.ones_like(grid)
-    tail = np.cumsum(density[::-1])[::-1] / (2 * density.sum())
-    return float(grid[np.searchsorted(-tail, -PASS)])
-
-
 def list_decode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row number and filter number of every filter that rows of unit vectors pass."""
     rows, filters = [], []
+    if unit.shape[1] < LEAST_SIZE:
+        unit = np.pad(unit, ((0, 0), (0, LEAST_SIZE - unit.shape[1])))
     size = unit.shape[1]
-    height = cap_height(size)
+    height = cap(size)[0]
     for code, (rotation, first, second) in enumerate(product_codes(size)):
         turned = unit @ rotation
         half = first.shape[1]

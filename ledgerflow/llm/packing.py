@@ -40,14 +40,11 @@ def differencing(sizes: list[int], ways: int) -> list[list[int]]:
         one, two = heapq.heappop(heap)[2], heapq.heappop(heap)[2]
         free = ways - len(one)
         if len(two) > free:
-            # The smallest parts of the second that find no empty part meet the smallest loads
-            # of the first last: largest of one side against smallest of the other.
+            # The smallest parts of both meet, the largest of the one with the smallest of the other.
             meeting = len(two) - free
-            tail, rest = two[:meeting], two[meeting:]
-            merged = one[: len(one) - meeting] + rest
-            merged += [
-                (a[0] + b[0], a[1] + b[1]) for a, b in zip(reversed(one[len(one) - meeting :]), tail)
-            ]
+            ours, theirs = one[len(one) - meeting :], two[len(two) - meeting :]
+            merged = one[: len(one) - meeting] + two[: len(two) - meeting]
+            merged += [(a[0] + b[0], a[1] + b[1]) for a, b in zip(ours, reversed(theirs))]
         else:
             merged = one + two
         merged.sort(key=lambda part: -part[0])

@@ -150,7 +150,8 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
 
 def warc_bytes() -> Column:
     """A record as it stands in a WARC file; a revisit has no payload there."""
-    body = F.when(F.col("header").contains("WARC-Type: revisit"), F.lit(b"")).otherwise(F.col("payload"))
+    revisit = F.col("header").startswith("WARC/1.1\r\nWARC-Type: revisit")
+    body = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
     return F.concat(F.col("header").cast("binary"), body, F.lit(b"\r\n\r\n"))
 
 
