@@ -10,43 +10,70 @@ from ledgerflow.functions.text import as_column, strip_accents
 YES_TEXTS = ("1", "yes", "true")
 NO_TEXTS = ("0", "no", "false")
 
-DIGITS_ONLY = r"^[0-9]+(\.[0-9]+)?$"
-SIGNED_DIGITS = r"^[+-]?[0-9]+(\.[0-9]+)?$"
+# ``\z`` is the very end; ``$`` would let a line feed pass.
+DIGITS_ONLY = r"^[0-9]+(\.[0-9]+)?\z"
+SIGNED_DIGITS = r"^[+-]?[0-9]+(\.[0-9]+)?\z"
 
+#: From here on a double has no fraction.
+WHOLE_DOUBLE = 2.0**53
 
-def truncate_number(c: Column | str, scale: int, exact: bool = False) -> Column:
+
+def must_cast(c: Column, kind: str) -> Column:
+    """Cast that stops the job, naming the value, where a value does not fit; NULL stays NULL."""
+    out = c.try_cast(kind)
+    message = F.concat(F.lit(f"does not fit {kind}: "), c.cast("string"))
+    return F.when(c.isNotNull() & out.isNull(), F.raise_error(message).cast(kind)).otherwise(out)
+
+
+def cut_decimal(c: Column, scale: int) -> Column:
+    """Cut a decimal column to ``scale`` places, towards zero; NULL gives 0."""
+    zero = F.lit(0).cast(f"decimal(38,{scale})")
+    cut = F.when(c < 0, -F.floor(-c, scale)).otherwise(F.floor(c, scale))
+    return F.coalesce(must_cast(cut, f"decimal(38,{scale})"), zero)
+
+
+def truncate_number(
+    c: Column | str, scale: int, exact: bool = False, wide: bool = False
+) -> Column:
     """Cut to ``scale`` decimals, never round; NULL and NaN give 0.
 
     With a scale the arithmetic is done in doubles on purpose, so 1.15 becomes 1.14, as in the
-    warehouse loads this mirrors. ``exact`` works in decimals instead. Scale 0 gives a whole number.
+    warehouse loads this mirrors. ``exact`` works in decimals instead. Scale 0 gives a whole number
+    of 64 bits, or of 38 digits if ``wide``; a number that does not fit stops the job.
     """
     c = as_column(c)
     if scale <= 0:
-        return F.coalesce(F.when(c.isNull(), F.lit(0)).otherwise(c).try_cast("bigint"),
-                          F.when(F.isnan(c.cast("double")), F.lit(0).cast("bigint")))
+        kind = "decimal(38,0)" if wide else "bigint"
+        zero = F.lit(0).cast(kind)
+        blank = c.isNull() | F.isnan(c.cast("double"))
+        return F.when(blank, zero).otherwise(must_cast(cut_decimal(c, 0) if exact else c, kind))
     factor = 10**scale
     if exact:
-        wide = F.coalesce(c.try_cast("decimal(38,18)"), F.lit(0).cast("decimal(38,18)"))
-        kept = F.floor(F.abs(wide) * F.lit(factor)).cast("decimal(38,0)")
-        cut = (kept / F.lit(factor)).cast(f"decimal(38,{scale})")
-        return F.when(wide < 0, -cut).otherwise(cut)
+        return cut_decimal(must_cast(c, "decimal(38,18)"), scale)
     number = c.cast("double")
     filled = F.when(number.isNull() | F.isnan(number), F.lit(0.0)).otherwise(number)
-    return (filled * F.lit(float(factor))).try_cast("bigint") / F.lit(float(factor))
+    scaled = filled * F.lit(float(factor))
+    whole = F.when(F.abs(scaled) < WHOLE_DOUBLE, scaled).try_cast("bigint") / F.lit(float(factor))
+    # What is whole after scaling has nothing to cut.
+    return F.when(F.abs(scaled) < WHOLE_DOUBLE, whole).otherwise(filled)
 
 
-def text_to_number(c: Column | str, scale: int, signed: bool = False) -> Column:
+def text_to_number(
+    c: Column | str, scale: int, signed: bool = False, wide: bool = False
+) -> Column:
     """Plain digits with an optional fraction, then cut to ``scale``; anything else gives 0.
 
     Signs, blanks, exponents, ``.5`` and ``5.`` all count as unreadable unless ``signed`` allows
-    a leading sign.
+    a leading sign. At scale 0 the number has 64 bits, or 38 digits if ``wide``; digits that do not
+    fit stop the job.
     """
     c = as_column(c)
-    pattern = SIGNED_DIGITS if signed else DIGITS_ONLY
+    readable = c.rlike(SIGNED_DIGITS if signed else DIGITS_ONLY)
     if scale <= 0:
-        whole = F.regexp_replace(c, r"\..*$", "").try_cast("bigint")
-        return F.when(c.rlike(pattern), whole).otherwise(F.lit(0).cast("bigint"))
-    return truncate_number(F.when(c.rlike(pattern), c.try_cast("double")), scale)
+        kind = "decimal(38,0)" if wide else "bigint"
+        whole = F.substring_index(F.when(readable, c), ".", 1)
+        return F.coalesce(must_cast(whole, kind), F.lit(0).cast(kind))
+    return truncate_number(F.when(readable, c.try_cast("double")), scale)
 
 
 def number_to_text(
@@ -102,7 +129,7 @@ def flag_to_number(c: Column | str) -> Column:
     return (
         F.when(text.isNull() | text.isin(*NO_TEXTS), F.lit(0).cast("bigint"))
         .when(text.isin(*YES_TEXTS), F.lit(1).cast("bigint"))
-        .when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("bigint"))
+        .when(text.rlike(r"^[+-]?[0-9]+\z"), text.try_cast("bigint"))
     )
 
 

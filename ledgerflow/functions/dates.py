@@ -22,7 +22,7 @@ SHORT_YEAR = "([0-9]{2})"
 
 SPACES = " \t\n\r\x0b\x0c"
 
-SERIAL_START, SERIAL_MIN, SERIAL_END = "1899-12-30 00:00:00", 59.0, 200000.0
+SERIAL_START, SERIAL_MIN = "1899-12-30 00:00:00", 59.0
 
 
 def _epoch() -> Column:
@@ -34,12 +34,6 @@ def _seconds(value: Column) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), value.try_cast("decimal(18,6)"))
 
 
-def _in_range(ts: Column) -> Column:
-    """NULL beyond what nanoseconds since 1970 can count in 64 bits (1677 to 2262)."""
-    since = F.try_divide(F.try_multiply(ts - _epoch(), F.lit(1000)), F.lit(1000))
-    return _epoch() + since
-
-
 def _read(
     text: Column,
     pattern: str,
@@ -76,14 +70,12 @@ def timestamp_from_text(c: Column | str) -> Column:
     digits_day = f"^{YEAR}{MONTH}{DAY}$"
     digits_time = f"^{YEAR}{MONTH}{DAY}{HOUR}{MINUTE}{SECOND}$"
     day_only = "^([0-9]{4})([-/])([0-9]{2})\\2([0-9]{2})$"
-    return _in_range(
-        F.coalesce(
-            common,
-            _read(text, separated, "$1-$3-$4 $5:$6:00", 7, sizes=(14, 19)),
-            _read(text, digits_day, "$1-$2-$3", sizes=(6, 8)),
-            _read(text, digits_time, "$1-$2-$3 $4:$5:00", 6, sizes=(9, 14)),
-            _read(text, day_only, "$1-$3-$4", sizes=(10, 10)),
-        )
+    return F.coalesce(
+        common,
+        _read(text, separated, "$1-$3-$4 $5:$6:00", 7, sizes=(14, 19)),
+        _read(text, digits_day, "$1-$2-$3", sizes=(6, 8)),
+        _read(text, digits_time, "$1-$2-$3 $4:$5:00", 6, sizes=(9, 14)),
+        _read(text, day_only, "$1-$3-$4", sizes=(10, 10)),
     )
 
 
@@ -107,7 +99,7 @@ def timestamp_from_integer(c: Column | str) -> Column:
     second = f"^{YEAR}{MONTH}{DAY}{HOUR}{MINUTE}{SECOND}$"
     micros = (number - F.pmod(number, F.lit(1000))).cast("decimal(20,0)") / F.lit(1000000000)
     size = F.length(text)
-    return _in_range(
+    return (
         F.when(size == 8, _read(text, day, "$1-$2-$3"))
         .when(size == 6, _read(with_year, day, "$1-$2-$3"))
         .when(size == 12, _read(text, minute, "$1-$2-$3 $4:$5:00"))
@@ -121,14 +113,14 @@ def timestamp_from_serial(c: Column | str) -> Column:
     serial = as_column(c).cast("double")
     start = F.lit(SERIAL_START).cast("timestamp_ntz")
     moved = start + _seconds(F.round(serial * F.lit(86400.0), 6))
-    return F.when((serial > SERIAL_MIN) & (serial < SERIAL_END), _in_range(moved))
+    return F.when(serial > SERIAL_MIN, moved)
 
 
 def timestamp_from_log(c: Column | str) -> Column:
     """``dd/MM/yy HH.mm.ss`` text, else NULL."""
     text = as_column(c)
     second = "([0-5][0-9]|[0-9])"
-    pattern = f"^{DAY}/{MONTH}/{SHORT_YEAR} {HOUR}\\.{MINUTE}\\.{second}$"
+    pattern = f"^{DAY}/{MONTH}/{SHORT_YEAR} {HOUR}\\.{MINUTE}\\.{second}\\z"
     year = _full_year(F.regexp_extract(text, pattern, 3))
     rest = F.regexp_replace(text, pattern, "-$2-$1 $4:$5:$6")
     return F.when(text.rlike(pattern), F.concat(year, rest).try_cast("timestamp_ntz"))
@@ -137,7 +129,7 @@ def timestamp_from_log(c: Column | str) -> Column:
 def date_from_page_header(c: Column | str) -> Column:
     """``MM/dd/yy`` of a report page header."""
     text = as_column(c)
-    pattern = f"^{MONTH}/{DAY}/{SHORT_YEAR}$"
+    pattern = f"^{MONTH}/{DAY}/{SHORT_YEAR}\\z"
     year = _full_year(F.regexp_extract(text, pattern, 3))
     rest = F.regexp_replace(text, pattern, "-$1-$2")
     return F.when(text.rlike(pattern), F.concat(year, rest).try_cast("date"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -22,11 +24,19 @@ class CatalogColumn:
     max_length: int | None = None
 
 
-def catalog_from_frame(catalog: DataFrame, df: DataFrame) -> list[CatalogColumn]:
-    """Read the catalog rows of ``df``'s own columns; bounded by the width of ``df``."""
+def catalog_from_frame(
+    catalog: DataFrame, df: DataFrame, table: str | None = None
+) -> list[CatalogColumn]:
+    """Read the catalog rows of ``df``'s own columns; bounded by the width of ``df``.
+
+    A catalog of several tables has a ``TABLE_NAME``, and ``table`` says which one is meant.
+    """
+    if table is not None:
+        catalog = catalog.filter(F.upper("TABLE_NAME") == table.upper())
     rows = (
         catalog.filter(F.col("COLUMN_NAME").isin(df.columns))
         .select("COLUMN_NAME", "DATA_TYPE", "PRECISION", "SCALE", "MAX_LENGTH")
+        .limit(len(df.columns) + 1)
         .collect()
     )
     return [
@@ -51,14 +61,17 @@ def _date_from_number(c: Column, kind: T.DataType) -> Column:
     return dates.timestamp_from_serial(c)
 
 
+# Digits that a 64-bit number always holds.
+LONG_DIGITS = 18
+
 # Types the warehouse names that fall back to a plain cast.
 PLAIN_CASTS = {"NUMBER": "double", "VARCHAR2": "string", "DATE": "timestamp_ntz", "BOOLEAN": "boolean"}
 
 
 def _fallback(c: Column, kind: T.DataType, target: str, category: str) -> Column:
-    if category == DATETIME and target in ("NUMBER", "BOOLEAN"):
-        return c
     plain = PLAIN_CASTS.get(target)
+    if category == DATETIME and target in ("NUMBER", "BOOLEAN"):
+        return F.lit(None).cast(plain)
     return c.try_cast(plain) if plain else c
 
 
@@ -74,11 +87,14 @@ def convert_column(c: Column, kind: T.DataType, to: CatalogColumn) -> Column:
     if to.data_type == "NUMBER" and category != DATETIME:
         if to.scale is None:
             raise ValueError("a NUMBER needs a scale")
+        wide = to.precision is not None and to.precision > LONG_DIGITS
         if category == TEXT:
-            return convert.text_to_number(c, to.scale)
+            return convert.text_to_number(c, to.scale, wide=wide)
+        if isinstance(kind, T.DecimalType) and (wide or to.scale > 0):
+            return convert.cut_decimal(c, to.scale)
         if isinstance(kind, T.BooleanType):
             c = c.cast("int")
-        return convert.truncate_number(c, to.scale)
+        return convert.truncate_number(c, to.scale, exact=isinstance(kind, T.DecimalType), wide=wide)
     if to.data_type == "DATE" and category != DATETIME:
         if category == NUMERIC:
             return _date_from_number(c, kind)
@@ -86,17 +102,26 @@ def convert_column(c: Column, kind: T.DataType, to: CatalogColumn) -> Column:
     return _fallback(c, kind, to.data_type, category)
 
 
-def conform(df: DataFrame, catalog: DataFrame | list[CatalogColumn]) -> DataFrame:
+def _names_once(names: list[str], where: str) -> None:
+    again = sorted(name for name, times in Counter(names).items() if times > 1)
+    if again:
+        raise ValueError(f"{where} has more than one {', '.join(again)}")
+
+
+def conform(
+    df: DataFrame, catalog: DataFrame | list[CatalogColumn], table: str | None = None
+) -> DataFrame:
     """Convert every cataloged column in one projection; others pass through.
 
-    Catalog entries without an input column are skipped. The type of the input column decides the
-    rule, so one NULL in a column never changes how the rest is read.
+    Catalog entries without an input column are skipped; ``table`` picks the rows of one table from
+    a catalog of many, and a column that is named twice stops the job. The type of the input column
+    decides the rule, so one NULL in a column never changes how the rest is read. Decimal columns
+    are cut as decimals, to the cent.
     """
-    repeated = sorted({c for c in df.columns if df.columns.count(c) > 1})
-    if repeated:
-        raise ValueError(f"Duplicate column detected: {repeated}")
+    _names_once(df.columns, "the input")
     if isinstance(catalog, DataFrame):
-        catalog = catalog_from_frame(catalog, df)
+        catalog = catalog_from_frame(catalog, df, table)
+    _names_once([entry.column_name for entry in catalog], "the catalog")
     rules = {entry.column_name: entry for entry in catalog}
     out = []
     for field in df.schema.fields:
@@ -111,18 +136,29 @@ def conform(df: DataFrame, catalog: DataFrame | list[CatalogColumn]) -> DataFram
     return df.select(*out)
 
 
+def _plain(name: str) -> str:
+    return name.strip().upper()
+
+
 def map_header(header: list[str], mapping: dict[str, str] | None) -> list[str]:
-    """Target names for a header, compared trimmed and upper-cased; unmapped names stay."""
-    names = [h.strip().upper() for h in header]
-    lookup = {k.strip().upper(): v.strip().upper() for k, v in (mapping or {}).items()}
-    return [lookup.get(n, n) for n in names]
+    """The header in upper case; a name that the mapping has, whatever its case, gives its target."""
+    targets = {}
+    for source, target in (mapping or {}).items():
+        targets[_plain(source)] = _plain(target)
+    out = []
+    for name in map(_plain, header):
+        out.append(targets[name] if name in targets else name)
+    return out
 
 
 def rename_by_position(
     df: DataFrame, header: list[str] | None = None, mapping: dict[str, str] | None = None
 ) -> DataFrame:
-    """Name columns by position from the mapped header; extra ones keep their upper-cased name."""
-    configured = header or df.columns
-    names = map_header(configured, mapping) if mapping else [h.upper() for h in configured]
-    extra = [c.upper() for c in df.columns[len(names):]]
-    return df.toDF(*names[: len(df.columns)], *extra)
+    """The n-th column takes the n-th name of the mapped header, as far as there are both; columns
+    beyond the header keep their own name, in upper case."""
+    given = map_header(header, mapping) if header else map_header(df.columns, mapping)
+    renames = {}
+    for own, name in zip_longest(df.columns, given):
+        if own is not None:
+            renames[own] = own.upper() if name is None else name
+    return df.withColumnsRenamed(renames)

@@ -14,6 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ONLY_LEFT, ONLY_RIGHT, MATCH, AMOUNT_DIFF = "ONLY_LEFT", "ONLY_RIGHT", "MATCH", "AMOUNT_DIFF"
+UNREADABLE = "UNREADABLE"
 
 
 def join_dimension(
@@ -27,14 +28,21 @@ def upper_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.upper() for name in df.columns])
 
 
-def _check_keys(keys: list[str], *frames: DataFrame) -> None:
-    missing = [k for k in keys if any(k not in f.columns for f in frames)]
-    if missing:
-        raise KeyError(f"Missing key columns: {missing}")
+def _check_keys(keys: list[str], **frames: DataFrame) -> None:
+    """Stop at the first frame that lacks a key, and say which."""
+    for side, frame in frames.items():
+        absent = set(keys).difference(frame.columns)
+        if absent:
+            raise KeyError(f"{side} has no column {', '.join(sorted(absent))}")
 
 
 def _anti(left: DataFrame, right: DataFrame, left_keys: list[Column]) -> DataFrame:
-    """Rows of ``left`` without a partner; NULL equals NULL. ``right`` holds only the keys."""
+    """Rows of ``left`` without a partner; NULL equals NULL. ``right`` holds only the keys.
+
+    The keys are exchanged twice on purpose: once to make them distinct, since a third of them may
+    be one key, and once more, reduced, for the join. Adaptive execution splits a hot key of
+    ``left`` only between two exchanges that the join itself asked for.
+    """
     keys = right.distinct()
     same = [a.eqNullSafe(keys[name]) for a, name in zip(left_keys, keys.columns)]
     return left.join(keys, reduce(and_, same), "left_anti")
@@ -49,7 +57,7 @@ def new_rows(incoming: DataFrame, target: DataFrame, keys: list[str]) -> DataFra
     """
     left, right = upper_columns(incoming), upper_columns(target)
     names = [k.upper() for k in keys]
-    _check_keys(names, left, right)
+    _check_keys(names, incoming=left, target=right)
     kinds = [_text_equal_type(left.schema[n].dataType, right.schema[n].dataType) for n in names]
     right_keys = right.select(
         *[F.col(n).cast(kind).alias(f"_key_{i}") for i, (n, kind) in enumerate(zip(names, kinds))]
@@ -67,7 +75,7 @@ def _text_equal_type(left: T.DataType, right: T.DataType) -> T.DataType:
 
 def missing_from(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``; NULL keys match each other."""
-    _check_keys(keys, left, right)
+    _check_keys(keys, left=left, right=right)
     right_keys = right.select(*[F.col(n).alias(f"_key_{i}") for i, n in enumerate(keys)])
     return _anti(left, right_keys, [left[n] for n in keys])
 
@@ -77,7 +85,7 @@ def two_way_difference(left: DataFrame, right: DataFrame, keys: list[str]) -> Da
 
     Both sides are stacked and counted per key, one shuffle with map-side counts.
     """
-    _check_keys(keys, left, right)
+    _check_keys(keys, left=left, right=right)
     tagged = left.select(*keys, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
         right.select(*keys, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )
@@ -99,21 +107,24 @@ def amount_difference(
 ) -> DataFrame:
     """Compare summed amounts per key between two parties.
 
-    ``status`` is MATCH, AMOUNT_DIFF, ONLY_LEFT or ONLY_RIGHT. Amounts are summed as decimals, so
-    the comparison is exact to ``decimals`` places.
+    ``status`` is UNREADABLE where an amount of either side is no number of 38 digits, else MATCH,
+    AMOUNT_DIFF, ONLY_LEFT or ONLY_RIGHT; an amount against none is a difference. Amounts are summed
+    as decimals, so the comparison is exact to ``decimals`` places, and ``unreadable`` counts those
+    that the sums leave out.
     """
-    _check_keys(keys, left, right)
+    _check_keys(keys, left=left, right=right)
     money = f"decimal(38,{decimals})"
     nothing = F.lit(None).cast(money)
 
     def side(df: DataFrame, amount: str, is_left: bool) -> DataFrame:
-        value = F.col(amount).try_cast(f"decimal(18,{decimals})").cast(money)
+        value = F.col(amount).try_cast(money)
         return df.select(
             *keys,
             F.lit(int(is_left)).alias("_l"),
             F.lit(int(not is_left)).alias("_r"),
             (value if is_left else nothing).alias("_la"),
             (nothing if is_left else value).alias("_ra"),
+            (F.col(amount).isNotNull() & value.isNull()).cast("long").alias("_bad"),
         )
 
     totals = (
@@ -125,35 +136,101 @@ def amount_difference(
             F.sum("_r").alias("_rn"),
             F.sum("_la").alias("left_amount"),
             F.sum("_ra").alias("right_amount"),
+            F.sum("_bad").alias("unreadable"),
         )
     )
     zero = F.lit(0).cast(money)
     gap = F.coalesce("left_amount", zero) - F.coalesce("right_amount", zero)
     status = (
-        F.when(F.col("_rn") == 0, ONLY_LEFT)
+        F.when(F.col("unreadable") > 0, UNREADABLE)
+        .when(F.col("_rn") == 0, ONLY_LEFT)
         .when(F.col("_ln") == 0, ONLY_RIGHT)
-        .when(gap == 0, MATCH)
+        .when(F.col("left_amount").eqNullSafe(F.col("right_amount")), MATCH)
         .otherwise(AMOUNT_DIFF)
     )
     return totals.select(
-        *keys, "left_amount", "right_amount", gap.alias("difference"), status.alias("status")
+        *keys, "left_amount", "right_amount", gap.alias("difference"), status.alias("status"),
+        "unreadable",
+    )
+
+
+def split_refunds(df: DataFrame, amount: str) -> tuple[DataFrame, DataFrame]:
+    """Transactions and refunds, which are the rows of a negative amount.
+
+    An amount that is missing or unreadable stays with the transactions, where it shows.
+    """
+    refund = F.coalesce(F.col(amount).try_cast("decimal(38,6)") < 0, F.lit(False))
+    return df.filter(~refund), df.filter(refund)
+
+
+def reconcile_amounts(
+    left: DataFrame, right: DataFrame, keys: list[str], left_amount: str, right_amount: str,
+    decimals: int = 2,
+) -> DataFrame:
+    """``amount_difference`` of transactions and of refunds apart, told by ``kind``."""
+    ours, theirs = split_refunds(left, left_amount), split_refunds(right, right_amount)
+    found = [
+        amount_difference(a, b, keys, left_amount, right_amount, decimals).withColumn("kind", F.lit(kind))
+        for kind, a, b in zip(("TRANSACTION", "REFUND"), ours, theirs)
+    ]
+    return found[0].unionByName(found[1])
+
+
+def invalid_accounts(
+    rows: DataFrame, accounts: DataFrame, key: str, name: str, account_name: str
+) -> DataFrame:
+    """Rows whose account name is not the one that the accounts have, or that have no account.
+
+    Names are compared trimmed and in upper case; ``core_name`` is the account's, NULL where there
+    is no such account. Empty when all agree. ``accounts`` has one row per key, else the job stops.
+    """
+    core = _one_per_key(accounts.select(key, F.col(account_name).alias("core_name")), key)
+    joined = _look_up(rows, core, key)
+    same = F.upper(F.btrim(name)).eqNullSafe(F.upper(F.btrim("core_name")))
+    return joined.filter(F.col("core_name").isNull() | ~same)
+
+
+def _one_per_key(lookup: DataFrame, key: str) -> DataFrame:
+    """Distinct rows of a two-column lookup; a key with two values stops the job."""
+    value = next(c for c in lookup.columns if c != key)
+    found = lookup.groupBy(key).agg(F.min(F.struct(value)).alias("_low"), F.max(F.struct(value)).alias("_high"))
+    kind = lookup.schema[value].dataType
+    message = F.concat(F.lit(f"more than one {value} for {key} "), F.col(key).cast("string"))
+    single = F.when(F.col("_low") == F.col("_high"), F.col(f"_low.{value}")).otherwise(
+        F.raise_error(message).cast(kind)
     )
+    return found.select(key, single.alias(value))
 
 
 def detokenise(
     df: DataFrame, vault: DataFrame, token: str = "token", value: str = "value"
 ) -> DataFrame:
-    """Look tokens up in a vault of one row per token; ``found`` tells whether there was one."""
-    known = vault.select(
-        F.col(token), F.col(value), F.lit(True).alias("_hit")
-    )
-    joined = df.join(known, on=token, how="left")
+    """Look tokens up in a vault; ``found`` tells whether there was one.
+
+    A token that the vault has with two values stops the job.
+    """
+    known = _one_per_key(vault.select(token, value), token).withColumn("_hit", F.lit(True))
+    joined = _look_up(df, known, token)
     return joined.withColumn("found", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
+def _look_up(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """Left join to a lookup of one row per key.
+
+    The null-safe comparison lays the lookup out anew after it was reduced to one row per key;
+    adaptive execution splits a hot key of ``df`` only between two exchanges.
+    """
+    known = lookup.filter(F.col(key).isNotNull()).withColumnRenamed(key, "_known")
+    joined = df.join(known, df[key].eqNullSafe(known["_known"]), "left").drop("_known")
+    return joined.select(key, *[c for c in joined.columns if c != key])
+
+
 def attach_surrogate_key(
     facts: DataFrame, dimension: DataFrame, natural_key: str, surrogate_key: str
 ) -> DataFrame:
-    """Bring the dimension's surrogate key to the facts; unknown keys give NULL."""
-    lookup = dimension.select(natural_key, surrogate_key)
-    return facts.join(lookup, on=natural_key, how="left")
+    """Bring the dimension's surrogate key to the facts; unknown keys give NULL.
+
+    A natural key with two surrogate keys stops the job.
+    """
+    lookup = _one_per_key(dimension.select(natural_key, surrogate_key), natural_key)
+    return _look_up(facts, lookup, natural_key)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerflow.functions.convert import must_cast
 from ledgerflow.operators.windows import running_number
 
 MONEY = "decimal(38,4)"
@@ -19,13 +20,17 @@ def duplicate_report(df: DataFrame, keys: list[str], name: str = "CN") -> DataFr
 
 
 def _money(c: Column) -> Column:
-    return F.sum(c.try_cast("decimal(28,4)")).cast(MONEY)
+    """Exact sum; 0 without any amount. An amount that cannot be read stops the report."""
+    return F.coalesce(F.sum(must_cast(c, "decimal(28,4)")).cast(MONEY), F.lit(0).cast(MONEY))
 
 
 def settlement_summary(
     df: DataFrame, group_by: list[str], amount: Column, fee: Column, number_rows: bool = True
 ) -> DataFrame:
-    """Transactions, amount, fee and amount after fee per group, numbered in group order."""
+    """Transactions, amount, fee and amount after fee per group, numbered in group order.
+
+    A missing amount or fee counts as 0.
+    """
     totals = df.groupBy(*group_by).agg(
         F.count(F.lit(1)).alias("NUM_OF_TXN"),
         _money(amount).alias("TXN_AMT"),
@@ -37,7 +42,7 @@ def settlement_summary(
 
 def fee_summary(df: DataFrame, accounts: list[str], fee: Column, vat_rate: Column) -> DataFrame:
     """Fee, VAT on it and their sum per posting account; add device columns for the detail form."""
-    vat = fee.try_cast("decimal(18,4)") * vat_rate.try_cast("decimal(6,4)")
+    vat = must_cast(fee, "decimal(24,4)") * must_cast(vat_rate, "decimal(10,6)")
     totals = df.groupBy(*accounts).agg(
         _money(fee).alias("FEE_AMOUNT"), _money(vat).alias("FEE_VAT_AMT")
     )

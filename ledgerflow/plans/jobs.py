@@ -11,7 +11,7 @@ from ledgerflow.functions.masking import mask_by_key
 from ledgerflow.operators.aggregates import load_audit, union_sources
 from ledgerflow.operators.clean import cast_columns, where_present
 from ledgerflow.operators.conform import CatalogColumn, conform
-from ledgerflow.operators.joins import amount_difference, missing_from, new_rows
+from ledgerflow.operators.joins import reconcile_amounts, missing_from, new_rows
 from ledgerflow.operators.masking import safe_projection, tokenise
 from ledgerflow.operators.reports import duplicate_report, settlement_summary
 from ledgerflow.operators.settlement import read_reports, to_report_table
@@ -168,8 +168,10 @@ def report_pack(
         "DUPLICATE": duplicate_report(imported, keys),
         "IMP_VS_SYNC": missing_from(imported, synced, keys),
         "SYNC_VS_IMP": missing_from(synced, imported, keys),
-        "AMOUNT_DIFF": amount_difference(imported, synced, keys, amount, amount).filter(
-            F.col("status") == "AMOUNT_DIFF"
-        ),
     }
+    differing = reconcile_amounts(imported, synced, keys, amount, amount).filter(
+        F.col("status").isin("AMOUNT_DIFF", "UNREADABLE")
+    )
+    for sheet, kind in (("AMOUNT_DIFF", "TRANSACTION"), ("REFUND_DIFF", "REFUND")):
+        sheets[sheet] = differing.filter(F.col("kind") == kind).drop("kind")
     return export_datasets(list(sheets.values()), list(sheets), base, template)

@@ -251,3 +251,42 @@ def file_dates(spark, sf):
         text.file_date(F.concat(day, F.lit("_REPORT.TXT"))).alias("file_date"),
         text.file_date(F.concat(F.lit("REPORT_"), day)).alias("none"),
     )
+
+
+@query("""SELECT o_orderkey, (o_orderkey::HUGEINT * 1000000000000000000)::VARCHAR AS number
+FROM orders""")
+def text_to_number_wide(spark, sf):
+    """Whole numbers of more than 18 digits."""
+    raw = F.concat(F.col("o_orderkey").cast("string"), F.lit("000000000000000000.9"))
+    number = convert.text_to_number(raw, 0, wide=True)
+    return table(spark, sf, "orders").select("o_orderkey", number.cast("string").alias("number"))
+
+
+@query("""SELECT o_orderkey, cast(o_totalprice AS DECIMAL(18,2))::VARCHAR AS cents,
+  cast(trunc(cast(o_totalprice AS DECIMAL(18,2)) * 10) / 10 AS DECIMAL(18,1))::VARCHAR AS tenths,
+  trunc(cast(o_totalprice AS DECIMAL(18,2)))::BIGINT AS whole FROM orders""")
+def conform_decimals(spark, sf):
+    """Decimal columns are cut as decimals, so no cent is lost."""
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", price.alias("cents"), price.alias("tenths"), price.alias("whole")
+    )
+    entries = [("cents", 18, 2), ("tenths", 18, 1), ("whole", 18, 0)]
+    catalog = [shape.CatalogColumn(name, "NUMBER", *size) for name, *size in entries]
+    done = shape.conform(rows, catalog)
+    texts = [F.col(n).cast(f"decimal(18,{s})").cast("string").alias(n) for n, _, s in entries[:2]]
+    return done.select("o_orderkey", *texts, "whole")
+
+
+@query("""SELECT o_orderkey, TIMESTAMP '9999-12-31' AS open_end,
+  TIMESTAMP '1899-12-30' + to_days(CAST(2900000 + o_orderkey % 50000 AS INT)) AS serial,
+  make_timestamp(1000 + o_orderkey % 600, 1, 2, 3, 4, 5) AS early FROM orders""")
+def date_open_end(spark, sf):
+    """Dates far from today, as open end dates are."""
+    year = (F.lit(1000) + F.col("o_orderkey") % 600).cast("string")
+    return table(spark, sf, "orders").select(
+        "o_orderkey",
+        dates.timestamp_from_integer(F.lit(99991231)).alias("open_end"),
+        dates.timestamp_from_serial((F.lit(2900000) + F.col("o_orderkey") % 50000).cast("double")).alias("serial"),
+        dates.timestamp_from_text(F.concat(year, F.lit("-01-02 03:04:05"))).alias("early"),
+    )

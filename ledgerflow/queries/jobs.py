@@ -149,24 +149,32 @@ def derive_csv(spark, sf):
 def _ours_and_theirs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Returned lines as one party's book, all shipped lines as the other's."""
     lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice"
-    )
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus",
+        F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice"))
+        .otherwise(F.col("l_extendedprice")).alias("l_extendedprice"),
+    )
     return lines.filter(F.col("l_returnflag") != "N"), lines.filter(F.col("l_linestatus") == "O")
 
 
-@query("""WITH a AS (SELECT * FROM lineitem WHERE l_returnflag <> 'N'),
-     b AS (SELECT * FROM lineitem WHERE l_linestatus = 'O'),
+@query("""WITH lines AS (SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN -l_extendedprice
+         ELSE l_extendedprice END AS l_extendedprice) FROM lineitem),
+     a AS (SELECT * FROM lines WHERE l_returnflag <> 'N'),
+     b AS (SELECT * FROM lines WHERE l_linestatus = 'O'),
      ta AS (SELECT l_orderkey, l_linenumber, sum(cast(l_extendedprice AS DECIMAL(18,2))) AS x, count(*) AS n
             FROM a GROUP BY 1, 2),
-     tb AS (SELECT l_orderkey, l_linenumber, sum(cast(l_extendedprice AS DECIMAL(18,2))) AS x
-            FROM b GROUP BY 1, 2),
+     da AS (SELECT l_orderkey, l_linenumber, l_extendedprice < 0 AS refund,
+              sum(cast(l_extendedprice AS DECIMAL(18,2))) AS x FROM a GROUP BY 1, 2, 3),
+     db AS (SELECT l_orderkey, l_linenumber, l_extendedprice < 0 AS refund,
+              sum(cast(l_extendedprice AS DECIMAL(18,2))) AS x FROM b GROUP BY 1, 2, 3),
+     differing AS (SELECT refund FROM da JOIN db USING (l_orderkey, l_linenumber, refund)
+                   WHERE da.x <> db.x),
      counts AS (
   SELECT 'SUMMARY' AS dataset, (SELECT count(DISTINCT l_returnflag) FROM a) AS row_count
   UNION ALL SELECT 'DUPLICATE', (SELECT count(*) FROM ta WHERE n > 1)
   UNION ALL SELECT 'IMP_VS_SYNC', (SELECT count(*) FROM a ANTI JOIN b USING (l_orderkey, l_linenumber))
   UNION ALL SELECT 'SYNC_VS_IMP', (SELECT count(*) FROM b ANTI JOIN a USING (l_orderkey, l_linenumber))
-  UNION ALL SELECT 'AMOUNT_DIFF',
-    (SELECT count(*) FROM ta JOIN tb USING (l_orderkey, l_linenumber) WHERE ta.x <> tb.x))
+  UNION ALL SELECT 'AMOUNT_DIFF', (SELECT count(*) FROM differing WHERE NOT refund)
+  UNION ALL SELECT 'REFUND_DIFF', (SELECT count(*) FROM differing WHERE refund))
 SELECT dataset, row_count, row_count > 0 AS written FROM counts""")
 def report_pack(spark, sf):
     ours, theirs = _ours_and_theirs(spark, sf)

@@ -108,7 +108,7 @@ def recon_missing_rows(spark, sf):
 SELECT coalesce(l.txn_id, r.txn_id) AS txn_id, l.a::DOUBLE AS left_amount, r.a::DOUBLE AS right_amount,
        (coalesce(l.a, 0) - coalesce(r.a, 0))::DOUBLE AS difference,
        CASE WHEN r.txn_id IS NULL THEN 'ONLY_LEFT' WHEN l.txn_id IS NULL THEN 'ONLY_RIGHT'
-            WHEN l.a = r.a THEN 'MATCH' ELSE 'AMOUNT_DIFF' END AS status
+            WHEN l.a = r.a THEN 'MATCH' ELSE 'AMOUNT_DIFF' END AS status, 0::BIGINT AS unreadable
 FROM l FULL JOIN r ON l.txn_id = r.txn_id""")
 def recon_amount_diff(spark, sf):
     ours = table(spark, sf, "orders").filter(F.col("o_orderstatus") != "P")
@@ -124,6 +124,74 @@ def recon_amount_diff(spark, sf):
     return found.withColumns({c: F.col(c).cast("double") for c in amounts})
 
 
+@query("""WITH raw AS (SELECT o_orderkey AS txn_id, CASE o_orderkey % 5 WHEN 0 THEN 'n/a'
+             WHEN 1 THEN NULL WHEN 2 THEN '99999999999999999999.5' ELSE o_totalprice::VARCHAR END AS a,
+           CASE o_orderkey % 7 WHEN 0 THEN NULL ELSE o_totalprice END AS b FROM orders),
+     money AS (SELECT txn_id, a, TRY_CAST(a AS DECIMAL(38,2)) AS x, cast(b AS DECIMAL(38,2)) AS y FROM raw)
+SELECT txn_id, x::DOUBLE AS left_amount, y::DOUBLE AS right_amount,
+       (coalesce(x, 0) - coalesce(y, 0))::DOUBLE AS difference,
+       CASE WHEN a IS NOT NULL AND x IS NULL THEN 'UNREADABLE'
+            WHEN x IS NOT DISTINCT FROM y THEN 'MATCH' ELSE 'AMOUNT_DIFF' END AS status,
+       (a IS NOT NULL AND x IS NULL)::BIGINT AS unreadable FROM money""")
+def recon_amount_unreadable(spark, sf):
+    """Amounts that are no number, missing or very large never pass for a match."""
+    orders = table(spark, sf, "orders")
+    case = F.col("o_orderkey") % 5
+    text = (
+        F.when(case == 0, "n/a").when(case == 1, F.lit(None)).when(case == 2, "99999999999999999999.5")
+        .otherwise(F.col("o_totalprice").cast("string"))
+    )
+    other = F.when(F.col("o_orderkey") % 7 != 0, F.col("o_totalprice"))
+    found = joins.amount_difference(
+        orders.select(F.col("o_orderkey").alias("txn_id"), text.alias("a")),
+        orders.select(F.col("o_orderkey").alias("txn_id"), other.alias("b")),
+        ["txn_id"], "a", "b",
+    )
+    return _doubles(found, "left_amount", "right_amount", "difference")
+
+
+@query("""WITH lines AS (SELECT l_orderkey AS txn_id, l_linestatus,
+         CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * cast(l_extendedprice AS DECIMAL(18,2)) AS x
+       FROM lineitem),
+     sums AS (SELECT txn_id, CASE WHEN x < 0 THEN 'REFUND' ELSE 'TRANSACTION' END AS kind,
+         sum(x) AS a, sum(x) FILTER (WHERE l_linestatus = 'F') AS b,
+         count(*) FILTER (WHERE l_linestatus = 'F') AS n FROM lines GROUP BY 1, 2)
+SELECT txn_id, kind, a::DOUBLE AS left_amount, b::DOUBLE AS right_amount,
+       (a - coalesce(b, 0))::DOUBLE AS difference,
+       CASE WHEN n = 0 THEN 'ONLY_LEFT' WHEN a = b THEN 'MATCH' ELSE 'AMOUNT_DIFF' END AS status,
+       0::BIGINT AS unreadable FROM sums""")
+def recon_refunds(spark, sf):
+    """All lines against the finished ones; returned lines count as refunds."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    signed = F.when(F.col("l_returnflag") == "R", -price).otherwise(price)
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("txn_id"), signed.alias("amount"), "l_linestatus"
+    )
+    found = joins.reconcile_amounts(
+        lines, lines.filter(F.col("l_linestatus") == "F"), ["txn_id"], "amount", "amount"
+    )
+    return _doubles(found, "left_amount", "right_amount", "difference")
+
+
+@query("""SELECT o_orderkey, o_custkey, account_name, c_name AS core_name
+FROM (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN ' customer#' || o_custkey::VARCHAR
+        ELSE lower(c_name) END AS account_name, c_name AS told FROM orders JOIN customer ON o_custkey = c_custkey)
+LEFT JOIN (SELECT c_custkey, c_name FROM customer WHERE c_mktsegment <> 'BUILDING') ON o_custkey = c_custkey
+WHERE c_name IS NULL OR upper(trim(account_name)) <> upper(trim(c_name))""")
+def invalid_accounts(spark, sf):
+    """Orders whose customer name differs from the customer table's, or that have no customer."""
+    customers = table(spark, sf, "customer")
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
+    named = orders.join(customers.select("c_custkey", "c_name"), "c_custkey")
+    wrong = F.concat(F.lit(" customer#"), F.col("c_custkey").cast("string"))
+    told = F.when(F.col("o_orderkey") % 3 == 0, wrong).otherwise(F.lower("c_name"))
+    found = joins.invalid_accounts(
+        named.select("o_orderkey", "c_custkey", told.alias("account_name")),
+        customers.filter(F.col("c_mktsegment") != "BUILDING"), "c_custkey", "account_name", "c_name",
+    )
+    return found.withColumnRenamed("c_custkey", "o_custkey")
+
+
 @query("""SELECT l_orderkey, l_linenumber, count(*) AS "CN" FROM lineitem
 GROUP BY 1, 2 HAVING count(*) > 1""")
 def duplicate_report(spark, sf):
@@ -211,3 +279,17 @@ def fee_detail(spark, sf):
     )
     found = reports.fee_summary(rows, ["account", "device"], _fee(), F.col("l_tax"))
     return _doubles(found, "FEE_AMOUNT", "FEE_VAT_AMT", "FEE_TOTAL_AMT")
+
+
+@query("""SELECT l_suppkey, count(*) AS "NUM_OF_TXN", sum(cast(l_extendedprice AS DECIMAL(18,2)))::DOUBLE AS "TXN_AMT",
+  coalesce(sum(f), 0)::DOUBLE AS "FEE_AMT",
+  (sum(cast(l_extendedprice AS DECIMAL(18,2))) - coalesce(sum(f), 0))::DOUBLE AS "NET_AMT"
+FROM (SELECT *, CASE WHEN l_suppkey % 2 = 0 THEN cast(l_discount AS DECIMAL(28,4)) END AS f FROM lineitem)
+GROUP BY 1""")
+def settlement_without_fee(spark, sf):
+    """Every other supplier has no fee at all; its net amount is its amount."""
+    fee = F.when(F.col("l_suppkey") % 2 == 0, F.col("l_discount"))
+    found = reports.settlement_summary(
+        table(spark, sf, "lineitem"), ["l_suppkey"], F.col("l_extendedprice"), fee, number_rows=False
+    )
+    return _doubles(found, "TXN_AMT", "FEE_AMT", "NET_AMT")

@@ -128,7 +128,7 @@ def test_amount_difference_states(spark):
         2: ("AMOUNT_DIFF", Decimal("-0.01")),
         3: ("ONLY_LEFT", Decimal("1.00")),
         4: ("ONLY_RIGHT", Decimal("-2.00")),
-        5: ("MATCH", Decimal("0.00")),
+        5: ("AMOUNT_DIFF", Decimal("0.00")),
     }
     assert "Join" not in plan_of(out)
 
@@ -196,3 +196,50 @@ def test_load_audit_states(spark):
 def test_text_amounts_that_are_no_number_add_nothing(spark):
     rows = spark.createDataFrame([("north", "120"), ("south", "75"), ("north", "x"), ("north", "30")], "d string, s string")
     assert {r.d: r.total for r in agg.sum_text_amounts(rows, "d", "s").collect()} == {"north": 150, "south": 75}
+
+
+def test_unreadable_and_lost_amounts_are_no_match(spark):
+    big = "99999999999999999999.00"
+    ours = spark.createDataFrame([(1, big), (2, "abc"), (3, big), (4, None), (5, "1e40")], "id int, a string")
+    theirs = spark.createDataFrame([(1, None), (2, None), (3, big), (4, None), (5, "1e40")], "id int, b string")
+    found = {r.id: (r.status, r.unreadable) for r in joins.amount_difference(ours, theirs, ["id"], "a", "b").collect()}
+    assert found == {
+        1: ("AMOUNT_DIFF", 0), 2: ("UNREADABLE", 1), 3: ("MATCH", 0), 4: ("MATCH", 0), 5: ("UNREADABLE", 2),
+    }
+
+
+def test_refunds_are_reconciled_apart(spark):
+    ours = spark.createDataFrame([(1, 10.0), (1, -4.0), (2, -1.0)], "id int, a double")
+    theirs = spark.createDataFrame([(1, 6.0), (2, -1.0)], "id int, b double")
+    found = {(r.id, r.kind): r.status for r in joins.reconcile_amounts(ours, theirs, ["id"], "a", "b").collect()}
+    assert found == {
+        (1, "TRANSACTION"): "AMOUNT_DIFF", (1, "REFUND"): "ONLY_LEFT", (2, "REFUND"): "MATCH",
+    }
+
+
+def test_totals_without_fee_or_rate_are_numbers(spark):
+    rows = spark.createDataFrame([("a", 10.0, None, None)], "bank string, amount double, fee double, rate double")
+    row = reports.settlement_summary(rows, ["bank"], F.col("amount"), F.col("fee"), number_rows=False).collect()[0]
+    assert (row.FEE_AMT, row.NET_AMT) == (0, 10)
+    row = reports.fee_summary(rows, ["bank"], F.col("amount"), F.col("rate")).collect()[0]
+    assert (row.FEE_AMOUNT, row.FEE_VAT_AMT, row.FEE_TOTAL_AMT) == (10, 0, 10)
+    with pytest.raises(Exception, match="does not fit"):
+        reports.settlement_summary(rows, ["bank"], F.lit(1e40), F.col("fee")).collect()
+
+
+def test_lookups_refuse_a_key_with_two_values(spark):
+    twice = spark.createDataFrame([("t", "a"), ("t", "b"), ("u", "c"), ("u", "c"), (None, "d")], "token string, value string")
+    asked = spark.createDataFrame([("u",), (None,)], "token string")
+    with pytest.raises(Exception, match="more than one value for token t"):
+        joins.detokenise(asked, twice).collect()
+    found = joins.detokenise(asked, twice.filter("token <> 't'")).collect()
+    assert sorted((r.value, r.found) for r in found if r.found) == [("c", True)] and len(found) == 2
+    with pytest.raises(Exception, match="more than one value"):
+        joins.attach_surrogate_key(asked, twice, "token", "value").collect()
+
+
+def test_accounts_with_another_name_or_none(spark):
+    rows = spark.createDataFrame([(1, " ann "), (2, "bob"), (3, "cy"), (4, None)], "id int, told string")
+    core = spark.createDataFrame([(1, "Ann"), (2, "Rob"), (4, "Di")], "id int, name string")
+    found = joins.invalid_accounts(rows, core, "id", "told", "name").collect()
+    assert sorted((r.id, r.core_name) for r in found) == [(2, "Rob"), (3, None), (4, "Di")]
