@@ -17,10 +17,6 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Letters that decompose into several letters lie in these ranges, as do the Hangul syllables.
-SPREAD_RANGES = "[\\x{980}-\\x{1FFF}\\x{3000}-\\x{10FFFF}]"
-
-
 @lru_cache(maxsize=1)
 def _accent_tables() -> tuple[dict[str, str], dict[str, str], str]:
     """From the Unicode data: one-letter bases, several-letter bases, combining marks."""
@@ -81,10 +77,12 @@ def strip_accents(c: Column | str) -> Column:
     def swap(text: Column) -> Column:
         return F.translate(text, "".join(single) + marks, "".join(single.values()))
 
+    # The letters that decompose into several, and the Hangul syllables.
+    spreading = f"[{''.join(several)}{chr(HANGUL_FIRST)}-{chr(HANGUL_LAST)}]"
     spread = reduce(lambda e, kv: F.replace(e, F.lit(kv[0]), F.lit(kv[1])), several.items(), c)
     return (
         F.when(F.octet_length(c) == F.char_length(c), c)
-        .when(c.rlike(SPREAD_RANGES), swap(_hangul_letters(spread)))
+        .when(c.rlike(spreading), swap(_hangul_letters(spread)))
         .otherwise(swap(c))
     )
 

@@ -96,26 +96,55 @@ def _plain(label: str) -> str:
     return re.sub(r"[\s\-]+", " ", label.lower()).strip()
 
 
+#: Letters of a header that was cut to fit its column.
+CUT_AT = max(map(len, REPORT_HEADER))
+#: Letters that the cut last word of a label must have at least.
+CUT_WORD = 3
+
+
 def label_prefixes() -> dict[str, str]:
-    """Every beginning of a label with the shortest header it could mean."""
+    """Every accepted beginning of a label with the shortest header it could mean.
+
+    A beginning is one or more whole words of the header, or whole words and at least ``CUT_WORD``
+    letters of the next. Single letters and cut first words stand for nothing.
+    """
     found: dict[str, str] = {}
     for header in sorted(REPORT_HEADER, key=len):
         plain = _plain(header)
         for end in range(1, len(plain) + 1):
-            found.setdefault(plain[:end].rstrip(), header)
+            head, _, last = plain[:end].rpartition(" ")
+            whole = end == len(plain) or plain[end] == " "
+            if last and (whole or (head and len(last) >= CUT_WORD)):
+                found.setdefault(plain[:end], header)
     for header in REPORT_HEADER:
         found[_plain(header)] = header
     return found
 
 
+def _lookup_text(label: str) -> Column:
+    """A label as it is looked up: one that goes on where a cut header ends is cut as well."""
+    return F.rtrim(F.substring(normalise_label(label), 1, CUT_AT))
+
+
+def _known_labels(df: DataFrame, into: str) -> DataFrame:
+    names = {**label_prefixes(), PAGE_SYSTEM: PAGE_SYSTEM, PAGE_CPD: PAGE_CPD, REPORT_NAME: REPORT_NAME}
+    return df.sparkSession.createDataFrame(list(names.items()), f"_plain string, {into} string")
+
+
 def map_labels(df: DataFrame, label: str, into: str = "header") -> DataFrame:
     """Header of each label: the exact one, else the shortest that begins with it; others go.
 
     The lookup holds the beginnings of 51 fixed names, so it is always small enough to broadcast.
     """
-    names = {**label_prefixes(), PAGE_SYSTEM: PAGE_SYSTEM, PAGE_CPD: PAGE_CPD, REPORT_NAME: REPORT_NAME}
-    lookup = df.sparkSession.createDataFrame(list(names.items()), f"_plain string, {into} string")
-    return df.join(F.broadcast(lookup), normalise_label(label) == F.col("_plain")).drop("_plain")
+    lookup = F.broadcast(_known_labels(df, into))
+    return df.join(lookup, _lookup_text(label) == F.col("_plain")).drop("_plain")
+
+
+def unmapped_labels(df: DataFrame, label: str) -> DataFrame:
+    """Labels that no header begins with, and how often they occur."""
+    lookup = F.broadcast(_known_labels(df, "_header"))
+    left = df.join(lookup, _lookup_text(label) == F.col("_plain"), "left_anti")
+    return left.groupBy(label).agg(F.count(F.lit(1)).alias("lines"))
 
 
 def split_reports(lines: DataFrame, name: Column) -> DataFrame:

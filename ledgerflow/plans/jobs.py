@@ -34,15 +34,17 @@ def golden_record(
     tie_break: list[Column],
     renames: dict[str, str] | None = None,
     created: bool = False,
+    null_marker: str | None = None,
 ) -> DataFrame:
     """Stack the sources, key rows by a hash of their identity, keep the newest row per key.
 
-    Rows without the required columns go at the end, so a newer incomplete row still hides an
+    Rows whose identity is missing altogether share one key; a ``null_marker`` stands for a missing
+    part, so that a row without a phone and one without an e-mail stay apart. Rows without the required columns go at the end, so a newer incomplete row still hides an
     older complete one. ``created`` adds the time of this run.
     """
     bronze = union_sources(*sources)
     silver = latest_per_key(
-        bronze.withColumn("unique_key", key_hash(*identity)), ["unique_key"], newest_first, tie_break
+        bronze.withColumn("unique_key", key_hash(*identity, null_marker=null_marker)), ["unique_key"], newest_first, tie_break
     )
     golden = where_present(silver.select("unique_key", *keep), *required)
     golden = golden.withColumnsRenamed(renames or {})

@@ -251,14 +251,14 @@ def top_k(spark, sf):
     return agg.first_rows(rows, 100, F.desc("o_totalprice"), F.asc("o_orderkey"))
 
 
-@query("""WITH s AS (SELECT * FROM customer WHERE c_mktsegment = 'BUILDING')
+@query("""WITH s AS (SELECT * FROM customer)
 SELECT 'count' AS summary, cast(count(c_name) AS DOUBLE) AS c_name, cast(count(c_acctbal) AS DOUBLE) AS c_acctbal FROM s
 UNION ALL SELECT 'mean', NULL, round(avg(c_acctbal), 2) FROM s
 UNION ALL SELECT 'stddev', NULL, round(stddev_samp(c_acctbal), 2) FROM s
 UNION ALL SELECT 'min', NULL, round(min(c_acctbal), 2) FROM s
 UNION ALL SELECT 'max', NULL, round(max(c_acctbal), 2) FROM s""")
 def describe_table(spark, sf):
-    rows = table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    rows = table(spark, sf, "customer")
     summary = agg.describe(rows, "c_name", "c_acctbal")
     return summary.select(
         "summary",
@@ -301,18 +301,30 @@ def running_number(spark, sf):
     return windows.running_number(rows, [F.desc("o_totalprice"), F.asc("o_orderkey")])
 
 
-@query("SELECT event_id, value, value + 10 AS value_plus FROM events")
+@query("""SELECT event_id, value, cast(('0x' || substr(md5(event_id::VARCHAR), 1, 6)) AS INT) % 97
+  AS check_number FROM events""")
 def udf_vectorised(spark, sf):
+    """A rule of a Python library, over whole batches."""
+    import hashlib
+
+    def check(ids):
+        return ids.map(lambda v: int(hashlib.md5(str(v).encode()).hexdigest()[:6], 16) % 97).astype("int32")
+
     rows = table(spark, sf, "events").select("event_id", "value")
-    return udfs.apply_series_function(
-        rows, "value", "value_plus", lambda values: values + 10, T.DoubleType()
-    )
+    return udfs.apply_series_function(rows, "event_id", "check_number", check, T.IntegerType())
 
 
-@query("SELECT s_suppkey, s_name, length(s_name) AS name_length FROM supplier")
+@query("""SELECT s_suppkey, s_name,
+  length(s_name) - length(replace(replace(s_name, '0', ''), '#', '')) AS zeros_and_marks
+FROM supplier""")
 def udf_row(spark, sf):
+    """A plain Python rule, row by row, with Arrow transfer."""
+
+    def marks(name: str) -> int:
+        return sum(1 for letter in name if letter in "0#")
+
     rows = table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    return udfs.apply_row_function(rows, "s_name", "name_length", len, T.LongType())
+    return udfs.apply_row_function(rows, "s_name", "zeros_and_marks", marks, T.LongType())
 
 
 def _prices(spark, sf):
@@ -350,8 +362,20 @@ def linreg_score(spark, sf):
     )
 
 
-@query("SELECT count(*) AS split_rows FROM events")
+@query("""SELECT count(*) AS split_rows, count(*) AS distinct_rows, 0::BIGINT AS in_both,
+  TRUE AS near_share FROM events""")
 def random_split(spark, sf):
-    """Both parts of a random split hold every row once."""
-    train, test = regression.random_split(table(spark, sf, "events").select("event_id", "value"))
-    return agg.row_count(train.unionByName(test), "split_rows")
+    """Both parts of a random split hold every row once, and the first about its share."""
+    events = table(spark, sf, "events").select("event_id", "value")
+    train, test = regression.random_split(events)
+    both = train.withColumn("first", F.lit(1)).unionByName(test.withColumn("first", F.lit(0)))
+    parts = both.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("first").alias("first")
+    )
+    share = F.sum("first") / F.sum("rows")
+    return parts.agg(
+        F.sum("rows").alias("split_rows"),
+        F.count(F.lit(1)).alias("distinct_rows"),
+        F.sum(F.col("first").between(1, F.col("rows") - 1).cast("long")).alias("in_both"),
+        (F.abs(share - 0.7) < 0.05).alias("near_share"),
+    )

@@ -38,7 +38,7 @@ def csv_declared_schema(spark, sf):
 FROM customer""")
 def csv_inferred(spark, sf):
     path = scratch_path(spark, "csv")
-    write_csv(table(spark, sf, "customer").coalesce(1), path)
+    write_csv(table(spark, sf, "customer"), path)
     found = src.read_csv(spark, path, infer=True)
     return found.withColumn("c_custkey", F.col("c_custkey").cast("int"))
 

@@ -24,6 +24,7 @@ log = logging.getLogger(__name__)
 
 LATIN = "ISO-8859-1"
 UTF8_NAMES = ("UTF-8", "UTF8", "UTF_8", "ASCII", "US-ASCII", "UTF-8-SIG")
+LATIN_NAMES = ("ISO-8859-1", "ISO8859-1", "LATIN-1", "LATIN1")
 
 # Cell texts that stand for a missing value.
 MISSING_TEXTS = (
@@ -34,6 +35,15 @@ MISSING_TEXTS = (
 FILLED = "_filled"
 
 
+def known_encoding(encoding: str | None) -> str | None:
+    """The encoding to decode with, None for UTF-8 or none; others are refused at plan time."""
+    if not encoding or encoding.upper() in UTF8_NAMES:
+        return None
+    if encoding.upper() in LATIN_NAMES:
+        return LATIN
+    raise ValueError(f"encoding {encoding} is not supported; convert the files to UTF-8 or {LATIN}")
+
+
 def decode_lines(rows: DataFrame, lines: DataFrame, encoding: str | None) -> DataFrame:
     """Decode per file: the configured encoding, else UTF-8 when the whole file is, else Latin-1.
 
@@ -41,8 +51,9 @@ def decode_lines(rows: DataFrame, lines: DataFrame, encoding: str | None) -> Dat
     that ``rows`` come from; they are checked in one pass, and the few files that are not UTF-8 are
     staged, so that the join back is planned by their real size.
     """
-    if encoding and encoding.upper() not in UTF8_NAMES:
-        return rows.withColumn(VALUE, F.decode(F.col(VALUE).cast("binary"), encoding))
+    named = known_encoding(encoding)
+    if named:
+        return rows.withColumn(VALUE, F.decode(F.col(VALUE).cast("binary"), named))
     other = (
         lines.groupBy(FILE)
         .agg(F.bool_and(F.is_valid_utf8(VALUE)).alias("_utf8"))
@@ -105,37 +116,39 @@ def window_rows(lines: DataFrame, template: ImportTemplate) -> DataFrame:
 
 
 def mapped_header(header: list[str], mapping: dict[str, str]) -> list[str]:
-    """Map names and upper-case them; with lengths that differ the map is left out altogether."""
-    if mapping and len(header) != len(mapping):
-        unmapped = [h for h in header if h not in mapping]
-        log.warning("header has %d names, map %d; unmapped: %s", len(header), len(mapping), unmapped)
-        mapping = {}
-    return [mapping.get(h, h).upper() for h in header]
+    """Target names in upper case. A map that is not as long as the header is left out, and told."""
+    fits = len(mapping) == len(header)
+    if mapping and not fits:
+        strangers = ", ".join(sorted(set(header).difference(mapping)))
+        log.warning("map of %d names left out for a header of %d: %s", len(mapping), len(header), strangers)
+    targets = mapping if fits else {}
+    return [str(targets.get(name, name)).upper() for name in header]
 
 
 def _first_row(rows: DataFrame, separator: str) -> list[str]:
     """Cells of one data row, read at plan time to learn the width of headerless data."""
-    head = rows.select(VALUE).head(1)
-    if not head:
+    line = rows.select(VALUE).head(1)
+    if not line:
         return []
-    if len(separator) > 1:
-        return head[0][0].split(separator)
-    return next(csv.reader([head[0][0]], delimiter=separator))
+    text = line[0][0]
+    return text.split(separator) if len(separator) > 1 else next(csv.reader([text], delimiter=separator))
 
 
-def _width(template: ImportTemplate, rows: DataFrame) -> int:
-    """Columns to take: up to the end column, else one per header name, else as in the first row.
+def _width(template: ImportTemplate, rows: DataFrame) -> tuple[int, bool]:
+    """Columns to take, and whether rows may go on beyond them.
 
-    Under sheet rules the first empty cell of the first row ends headerless data.
+    Up to the end column, else one per header name, else as many as the first row holds; under
+    sheet rules the first empty cell of that row ends headerless data. Files of other widths cannot
+    be told by one row: where their rows go on although that row did not, the import stops.
     """
     if template.end_col > 0:
-        return template.end_col - template.first_col
+        return template.end_col - template.first_col, True
     if template.header:
-        return len(template.header)
+        return len(template.header), True
     cells = _first_row(rows, template.separator)[template.first_col :]
     if template.sheet_rules and "" in cells:
-        return cells.index("")
-    return len(cells)
+        return cells.index(""), True
+    return len(cells), False
 
 
 def import_delimited(
@@ -150,17 +163,17 @@ def import_delimited(
 
     Row and column windows, header fit and per-file encoding follow the template. ``strict`` (the
     default without sheet rules) stops the job at a row with more cells than there are columns;
-    otherwise the surplus is cut. ``detect_encoding=False`` takes UTF-8 on trust and so saves the
+    otherwise the surplus is cut, if there is a header to cut by. ``detect_encoding=False`` takes UTF-8 on trust and so saves the
     pass that checks it. Missing cells are NULL. Values stay text, so leading zeros
     survive. A line break inside quotes is not supported. A missing path raises.
     """
     strict = not template.sheet_rules if strict is None else strict
     lines = read_lines(spark, paths)
     rows = window_rows(lines, template)
-    if detect_encoding or template.encoding:
+    if detect_encoding or known_encoding(template.encoding):
         rows = decode_lines(rows, lines, template.encoding)
 
-    width = _width(template, rows)
+    width, open_end = _width(template, rows)
     end = template.first_col + width
     names = mapped_header(list(template.header), template.column_mapping)
     if not names:
@@ -179,14 +192,16 @@ def import_delimited(
     # parsed only once.
     message = F.concat(F.lit(f"more than {end} cells in "), F.col(FILE), F.lit(": "), F.col(VALUE))
     too_wide = F.col("row.surplus").isNotNull()
-    checked = strict and template.end_col == 0
+    # Headerless data of another width is never cut in silence, whatever the rules.
+    checked = template.end_col == 0 and (strict or not open_end)
+    missing = MISSING_TEXTS if template.missing_texts else ("",)
 
     def cell(i: int) -> Column:
         value = F.col(f"row.c{i}")
         if not checked:
-            return F.when(~value.isin(*MISSING_TEXTS), value)
+            return F.when(~value.isin(*missing), value)
         return F.when(too_wide, F.raise_error(message).cast("string")).when(
-            ~value.isin(*MISSING_TEXTS), value
+            ~value.isin(*missing), value
         )
 
     # Header names beyond the data come out as NULL columns; cells beyond the header are cut.

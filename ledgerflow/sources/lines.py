@@ -19,9 +19,6 @@ from ledgerflow.session import stage
 # Underscores keep these apart from the partition columns of a folder.
 VALUE, FILE, BLOCK, LINE = "value", "_file", "_block", "_line"
 
-# A block row is a path and a few numbers, so a million of them stay below some 300 MB.
-MAX_BROADCAST_BLOCKS = 1_000_000
-
 
 def read_lines(
     spark: SparkSession, paths: str | list[str], line_sep: str | None = None
@@ -118,9 +115,9 @@ def carry_over_blocks(
 
     Stages the scanned lines, so that the block totals and the lines come from the same read, then
     joins one row per block back. Blocks follow each other by their start in the file. The block
-    rows are staged and counted: up to a limit they are broadcast, so that the lines do not move;
-    beyond it the join shuffles by block. ``file_number`` adds a number per file under that name, a
-    shorter key than the path for later steps.
+    rows are staged, too, so the optimizer knows their size and broadcasts them where that is small
+    enough. ``file_number`` adds a number per file under that name, a shorter key than the path for
+    later steps.
     """
     carry = carry or []
     staged = stage(scanned, "lines")
@@ -139,10 +136,7 @@ def carry_over_blocks(
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_before_{c}") for c in counts],
         *[F.last(c, ignorenulls=True).over(before).alias(f"_before_{c}") for c in carry],
     )
-    kept = stage(offsets, "blocks")
-    if kept.count() <= MAX_BROADCAST_BLOCKS:
-        kept = F.broadcast(kept)
-    joined = staged.join(kept, [FILE, BLOCK], "left")
+    joined = staged.join(stage(offsets, "blocks"), [FILE, BLOCK], "left")
     moved = {c: F.col(c) + F.col(f"_before_{c}") for c in counts}
     moved |= {c: F.coalesce(F.col(c), F.col(f"_before_{c}")) for c in carry}
     added = [file_number] if file_number else []

@@ -37,7 +37,8 @@ class ImportTemplate:
 
     ``sheet_rules`` reads the file the way a spreadsheet export is read: blank rows end or leave
     the data, the start column counts even without an end column, and the header is fitted to the
-    width of the data.
+    width of the data. ``missing_texts=False`` keeps texts such as ``NA`` or ``None`` as they are;
+    only empty cells are missing then.
     """
 
     table_name: str
@@ -52,12 +53,13 @@ class ImportTemplate:
     sheet_rules: bool = False
     read_to_empty_row: bool = False
     truncate_first: bool = False
+    missing_texts: bool = True
     load: LoadSettings = LoadSettings()
 
     @classmethod
     def from_dict(cls, settings: dict[str, Any]) -> ImportTemplate:
         values = dict(settings)
-        for name in ("sheet_rules", "read_to_empty_row", "truncate_first"):
+        for name in ("sheet_rules", "read_to_empty_row", "truncate_first", "missing_texts"):
             if name in values:
                 values[name] = read_flag(values[name], IMPORT_FLAG_TEXTS)
         if "load" in values and isinstance(values["load"], dict):

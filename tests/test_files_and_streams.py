@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F, types as T
 
 from ledgerflow.operators import clean, regression, udfs
@@ -50,6 +51,15 @@ def test_missing_rows_and_reports(spark):
     assert {r.v for r in bad.collect()} == {1.5, None}
 
 
+def test_writes_keep_the_stage_before_them_wide(spark):
+    """The exchange before the write, not the source, takes on the number of connections."""
+    rows = spark.range(0, 100, 1, 12)
+    assert jdbc_out.spread(rows, 3).rdd.getNumPartitions() == 3
+    assert "Exchange RoundRobinPartitioning(3)" in plan_of(jdbc_out.spread(rows, 3))
+    db = jdbc.Database("postgresql", "db.example", 5432, "dwh", "loader", "secret")
+    assert jdbc_out.write_options(db, "t", connections=7)["numPartitions"] == "7"
+
+
 def test_jdbc_options():
     db = jdbc.Database("postgresql", "db.example", 5432, "dwh", "loader", "secret")
     assert db.url == "jdbc:postgresql://db.example:5432/dwh" and "secret" not in repr(db)

@@ -7,6 +7,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F, types as T
 
+from conftest import plan_of
 from ledgerflow.sources.delimited import (
     fit_staging_slots,
     import_delimited,
@@ -88,22 +89,45 @@ def test_tasks_need_no_copy_of_the_package(tmp_path):
 
 
 def test_sheet_window_and_mapping(spark, tmp_path):
-    header = [f"Col {i}" for i in range(1, 22)]
-    lines = [
-        ",".join(f"dummy_{i}" for i in range(22)),
-        ",".join(f"dummy2_{i}" for i in range(22)),
-        ",".join(str(i) for i in range(1, 23)),
-        ",".join(str(i) for i in range(100, 122)),
-    ]
+    """Two lines of preamble, a margin column, then five named ones."""
+    names = ["Branch", "Till", "Drawn at", "Sum", "Note"]
+    lines = ["Daily report,,,,,", "made by the till system,,,,,", "-,Hue,7,08:15,12.50,cash", "-,Hue,9,08:20,3.00,"]
     path = write(tmp_path / "in", "a.txt", lines)
+    mapping = {"Branch": "branch_name", "Till": "till_no", "Drawn at": "drawn", "Sum": "amount", "Note": "remark"}
     out = import_delimited(
         spark, path,
-        template(header=tuple(header), column_mapping={h: h.replace(" ", "_") for h in header},
-                 start_row=3, start_col=2, sheet_rules=True),
+        template(header=tuple(names), column_mapping=mapping, start_row=3, start_col=2, sheet_rules=True),
     )
-    assert out.columns == [f"COL_{i}" for i in range(1, 22)]
-    assert rows(out)[0] == tuple(str(i) for i in range(101, 122))
-    assert rows(out)[1][0] == "2" and out.count() == 2
+    assert out.columns == ["BRANCH_NAME", "TILL_NO", "DRAWN", "AMOUNT", "REMARK"]
+    assert rows(out) == [("Hue", "7", "08:15", "12.50", "cash"), ("Hue", "9", "08:20", "3.00", None)]
+
+
+def test_headerless_rows_of_other_widths_lose_nothing(spark, tmp_path):
+    path = write(tmp_path / "in", "a", ["h", "1,2", "1,2,3,4"])
+    with pytest.raises(Exception, match="more than 2 cells"):
+        import_delimited(spark, path, template(sheet_rules=True)).collect()
+    wide = import_delimited(spark, path, template(sheet_rules=True, end_col=4))
+    assert rows(wide) == [("1", "2", "3", "4"), ("1", "2", None, None)]
+
+
+def test_unknown_encodings_are_refused_before_the_job(spark, tmp_path):
+    path = write(tmp_path / "in", "a", ["h", "é"], encoding="latin-1")
+    with pytest.raises(ValueError, match="windows-1252"):
+        import_delimited(spark, path, template(header=("a",), encoding="windows-1252"))
+    assert rows(import_delimited(spark, path, template(header=("a",), encoding="latin1"))) == [("é",)]
+
+
+def test_texts_like_na_may_be_values(spark, tmp_path):
+    path = write(tmp_path / "in", "a", ["h,i", "NA,", "None,x"])
+    kept = import_delimited(spark, path, template(header=("a", "b"), missing_texts=False))
+    assert rows(kept) == [("NA", None), ("None", "x")]
+
+
+def test_trusted_utf8_is_read_once(spark, tmp_path):
+    path = write(tmp_path / "in", "a", ["1,2"])
+    settings = template(header=("a", "b"), start_row=1, encoding="utf-8")
+    out = import_delimited(spark, path, settings, detect_encoding=False)
+    assert plan_of(out).count("FileScan text") == 1
 
 
 def test_values_stay_text_and_missing_cells_are_null(spark, tmp_path):

@@ -9,6 +9,7 @@ from conftest import plan_of
 from ledgerflow.operators.settlement import (
     REPORT_HEADER,
     map_labels,
+    unmapped_labels,
     read_reports,
     table_column,
     to_report_table,
@@ -70,6 +71,16 @@ def test_labels(spark):
     ]))
 
 
+def test_single_letters_mean_nothing_and_cut_headers_are_met(spark):
+    cut = next(h for h in REPORT_HEADER if len(h) == max(map(len, REPORT_HEADER)))
+    asked = ["T", "S", "C", "p", "Acc", "Account N", f"{cut}rest", "CPD", "nothing like it"]
+    rows = spark.createDataFrame([(a,) for a in asked], "label string")
+    found = {r.label: r.header for r in map_labels(rows, "label").collect()}
+    assert found == {f"{cut}rest": cut, "CPD": "CPD"}
+    left = {r.label: r.lines for r in unmapped_labels(rows.unionAll(rows), "label").collect()}
+    assert left == {a: 2 for a in asked if a not in found}
+
+
 def test_table_names():
     assert [table_column(h) for h in REPORT_HEADER[:4]] == [
         "RECORD_DATE", "CPD", "SYSTEM_DATE", "DESTINATION_IDENTIFIER",

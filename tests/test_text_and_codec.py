@@ -3,8 +3,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import hmac
-import unicodedata
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,16 +18,27 @@ def run(spark, items, expr, kind="string"):
     return [r.o for r in rows.select("i", expr.alias("o")).orderBy("i").collect()]
 
 
-def model_accents(value):
-    kept = [c for c in unicodedata.normalize("NFD", value) if unicodedata.category(c) != "Mn"]
-    return "".join(kept).replace("Đ", "D").replace("đ", "d")
+#: Text and the same without accents.
+PLAIN = {
+    "Nguyễn Văn Đức": "Nguyen Van Duc", "crème brûlée": "creme brulee", "": "", "plain": "plain",
+    "đường phố Huế, ừ": "duong pho Hue, u", "Ångström ÅÄÖ": "Angstrom AAO", "e\u0301a\u0323": "ea",
+    "a" * 5000 + "é": "a" * 5000 + "e", "Ǆ ß ø ł": "Ǆ ß ø ł", "ﬁ": "ﬁ", "가": "\u1100\u1161",
+    "각 é": "\u1100\u1161\u11a8 e", "й Ё": "и Е",
+}
 
 
-def test_accents_equal_the_unicode_rule_for_every_letter(spark):
-    letters = [chr(c) for c in [*range(1, 0xD800), *range(0xE000, 0x1D100), *range(0x2F800, 0x2FA20)]]
-    items = ["".join(letters[i : i + 64]) for i in range(0, len(letters), 64)]
-    items += ["Nguyễn Văn Đức", "crème brûlée", "", "plain", "한국어 é", "a" * 5000 + "é"]
-    assert run(spark, items, text.strip_accents("v")) == [model_accents(v) for v in items]
+def test_accents(spark):
+    assert run(spark, list(PLAIN), text.strip_accents("v")) == list(PLAIN.values())
+
+
+def test_accents_of_latin_letters_equal_duckdb(spark):
+    """Every Latin letter up to Vietnamese; DuckDB leaves the stroke of Đ on."""
+    letters = [chr(c) for c in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)] if chr(c) not in "Đđ"]
+    frame = pd.DataFrame({"i": range(len(letters)), "v": letters})
+    duck = duckdb.connect()
+    duck.register("frame", frame)
+    wanted = [r[0] for r in duck.sql("SELECT strip_accents(v) FROM frame ORDER BY i").fetchall()]
+    assert run(spark, letters, text.strip_accents("v")) == wanted
 
 
 def test_report_line_cleaners(spark):
