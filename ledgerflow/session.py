@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,12 +64,16 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="ledgerflow-")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that nothing has written to yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+#: Paths that the job at hand has drawn; a list per job, and one for what runs outside of any.
+_outside: list[str] = []
+_paths: ContextVar[list[str]] = ContextVar("paths", default=_outside)
 
 
-_staged: list[str] = []
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path in the shared folder that nothing has written to yet; it belongs to the job at hand."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _paths.get().append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -76,7 +83,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -86,9 +92,25 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside belongs to one job and is removed at its end; write results before.
+
+    Jobs may run side by side or inside each other: each removes its own paths only.
+    """
+    own: list[str] = []
+    token = _paths.set(own)
+    try:
+        yield
+    finally:
+        _paths.reset(token)
+        for path in own:
+            remove_path(spark, path)
+
+
 def release_staged(spark: SparkSession) -> int:
-    """Delete what this process staged; call it once the job's results are written."""
-    count = len(_staged)
-    while _staged:
-        remove_path(spark, _staged.pop())
+    """Delete what was staged outside of any job; call it once the results are written."""
+    count = len(_outside)
+    while _outside:
+        remove_path(spark, _outside.pop())
     return count

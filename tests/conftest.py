@@ -15,13 +15,14 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
         spark__sql__maxMetadataStringLength="2000",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -8,7 +8,7 @@ from conftest import plan_of, run_plan
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import aggregates as agg, joins, reports, windows
-from ledgerflow.session import release_staged
+from ledgerflow.session import release_staged, stage, staging
 from ledgerflow.sources.jdbc import target_keys
 from ledgerflow.templates import FULL, INCREMENTAL, LoadSettings
 
@@ -186,6 +186,23 @@ def test_running_number_counts_over_all_parts(spark):
     assert release_staged(spark) >= 2 and release_staged(spark) == 0
 
 
+def test_a_job_removes_what_it_staged_and_nothing_else(spark):
+    def there(frame):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.inputFiles()[0])
+        return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+    with staging(spark):
+        outer = stage(spark.range(3).toDF("id"), "outer")
+        with staging(spark):
+            inner = stage(outer, "inner")
+            files = inner.inputFiles()
+            assert inner.count() == 3 and there(inner)
+        assert outer.count() == 3 and there(outer)
+    with pytest.raises(Exception):
+        outer.collect()
+    assert files
+
+
 def test_load_audit_states(spark):
     rows = spark.range(3)
     assert agg.load_audit(rows, "t").collect()[0].status == "SUCCESS"
