@@ -19,6 +19,8 @@ def latest_per_key(
     """
     if not tie_break:
         raise ValueError("latest_per_key needs a tie-break to give the same rows on every run")
+    if NUMBER in df.columns:
+        raise ValueError(f"a column may not be called {NUMBER} here")
     window = Window.partitionBy(*keys).orderBy(*newest_first, *tie_break)
     return df.withColumn(NUMBER, F.row_number().over(window)).filter(F.col(NUMBER) == 1).drop(NUMBER)
 

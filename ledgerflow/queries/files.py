@@ -10,7 +10,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerflow.operators.settlement import REPORT_HEADER, read_reports, table_column, to_report_table
+from ledgerflow.operators.settlement import REPORT_HEADER, table_column
+from ledgerflow.plans.jobs import import_reports
 from ledgerflow.queries.registry import query
 from ledgerflow.session import scratch_path
 from ledgerflow.sinks.export import export_datasets
@@ -338,9 +339,10 @@ def _report_sql() -> str:
 
 @query(_report_sql())
 def report_import(spark, sf):
-    path = scratch_path(spark, "reports")
+    path, target = scratch_path(spark, "reports"), scratch_path(spark, "report-table")
     write_reports(spark, sf, path)
-    found = to_report_table(read_reports(spark, path, name_column="report"))
+    import_reports(spark, path, lambda rows: write_parquet(rows, target, mode="append"), "report")
+    found = src.read_parquet(spark, target)
     amounts = ("SOURCE_AMOUNT", "SETTLEMENT_AMOUNT_INTER", "INTERCHANGE_FEE_AMOUNT")
     return found.withColumns({c: F.col(c).cast("bigint") for c in amounts})
 
