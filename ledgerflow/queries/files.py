@@ -17,7 +17,12 @@ from ledgerflow.session import scratch_path
 from ledgerflow.sinks.export import export_datasets
 from ledgerflow.sinks.files import write_csv, write_json, write_lake, write_parquet
 from ledgerflow.sources import files as src
-from ledgerflow.sources.delimited import fit_staging_slots, import_delimited, import_summary
+from ledgerflow.sources.delimited import (
+    fit_staging_slots,
+    import_delimited,
+    import_summary,
+    source_files,
+)
 from ledgerflow.sources.files import read_table as table
 from ledgerflow.streaming import ingest
 from ledgerflow.templates import ExportTemplate, ImportTemplate, SheetTemplate
@@ -214,16 +219,18 @@ def staging_slots(spark, sf):
     return fit_staging_slots(import_delimited(spark, path, template))
 
 
-@query("""SELECT p_partkey // 1000 AS file_no, count(*) AS row_count, 5 AS column_count
-FROM part GROUP BY 1""")
+@query("""SELECT p_partkey // 1000 AS file_no, count(*) AS row_count, 5 AS column_count,
+  'string' AS column_type FROM part GROUP BY 1""")
 def import_audit(spark, sf):
     path = scratch_path(spark, "import")
     write_with_heading(part_lines(spark, sf), "file_no", "p_partkey", "text", ["heading"], path)
-    summary = import_summary(
-        import_delimited(spark, path, PART_TEMPLATE, file_column="FILE"), "FILE"
-    )
+    imported = import_delimited(spark, path, PART_TEMPLATE, file_column="FILE")
+    summary = import_summary(imported, "FILE", source_files(spark, path, "FILE"))
     number = F.regexp_extract("FILE", r"file_no=(\d+)", 1).cast("bigint")
-    return summary.select(number.alias("file_no"), "row_count", "column_count")
+    kinds = F.array_distinct(F.transform(F.split("column_types", ", "), lambda t: F.element_at(F.split(t, " "), -1)))
+    return summary.select(
+        number.alias("file_no"), "row_count", "column_count", F.array_join(kinds, " ").alias("column_type")
+    )
 
 
 def brand_totals(spark: SparkSession, sf: str) -> DataFrame:

@@ -214,12 +214,28 @@ def import_delimited(
     return parsed.select(*out)
 
 
-def import_summary(imported: DataFrame, file_column: str) -> DataFrame:
-    """Rows and columns per file. A file without data rows has no line here."""
-    width = len([c for c in imported.columns if c != file_column])
-    return imported.groupBy(file_column).agg(
-        F.count(F.lit(1)).alias("row_count"), F.lit(width).alias("column_count")
-    )
+def source_files(spark: SparkSession, paths: str | list[str], file_column: str) -> DataFrame:
+    """Every file below the paths, named as an import names it; the content is not read."""
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select(F.col("_metadata.file_path").alias(file_column))
+
+
+def import_summary(
+    imported: DataFrame, file_column: str, files: DataFrame | None = None
+) -> DataFrame:
+    """Rows, columns and column types per file.
+
+    With ``files`` (see ``source_files``) a file without data rows has its line, too, with 0 rows.
+    """
+    data = [field for field in imported.schema.fields if field.name != file_column]
+    types = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in data)
+    counted = imported.groupBy(file_column).agg(F.count(F.lit(1)).alias("row_count"))
+    if files is not None:
+        counted = files.select(file_column).distinct().join(counted, file_column, "left")
+    return counted.select(
+        file_column, F.coalesce("row_count", F.lit(0)).alias("row_count"),
+        F.lit(len(data)).alias("column_count"), F.lit(types).alias("column_types"),
+    )
 
 
 SLOT = re.compile(r"^FIELD_\d+_(\d+)$", re.IGNORECASE)

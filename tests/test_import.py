@@ -13,6 +13,7 @@ from ledgerflow.sources.delimited import (
     import_delimited,
     import_summary,
     mapped_header,
+    source_files,
 )
 from ledgerflow.sources.lines import (
     BLOCK,
@@ -223,6 +224,12 @@ def test_summary_and_slots(spark, tmp_path):
     )
     found = {r.FILE.rsplit("/", 1)[1]: (r.row_count, r.column_count) for r in import_summary(out, "FILE").collect()}
     assert found == {"a": (2, 2), "b": (1, 2)}
+    write(tmp_path / "in", "empty one", ["h"])
+    told = import_summary(out, "FILE", source_files(spark, path, "FILE")).collect()
+    assert sorted((r.FILE.rsplit("/", 1)[1].replace("%20", " "), r.row_count) for r in told) == [
+        ("a", 2), ("b", 1), ("empty one", 0),
+    ]
+    assert {r.column_types for r in told} == {"FIELD_01_3 string, FIELD_02_15 string"}
     assert sorted(r.FIELD_01_3 for r in fit_staging_slots(out).collect()) == ["abc", "b", "c"]
 
 
