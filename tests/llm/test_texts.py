@@ -173,6 +173,23 @@ def test_base_scores_and_counts_agree_with_brute_force(spark):
     assert all(r.score < 0 and math.isfinite(r.score) for r in found)
 
 
+def test_frequent_words_stay_within_their_bound(spark, monkeypatch):
+    counts = spark.createDataFrame([(k, 1 + k % 50) for k in range(1000)], "word long, count long")
+    for most in (0, 19, 20, 500, 1000, 5000):
+        found = [r["count"] for r in log_bilinear.frequent_words(counts, most).collect()]
+        left = [1 + k % 50 for k in range(1000)]
+        assert len(found) <= most and sorted(found) == sorted(left)[1000 - len(found) :]
+    # Few broadcast counts change no score.
+    docs = frame(spark, odd_documents())
+    whole = {repr(r.doc_id): r for r in log_bilinear.score_documents(docs).collect() if r.doc_id != 5}
+    monkeypatch.setattr(log_bilinear, "HEAD", 30)
+    for r in log_bilinear.score_documents(docs).collect():
+        if r.doc_id is not None and r.doc_id != 5:
+            other = whole[repr(r.doc_id)]
+            assert r.n_known == other.n_known and abs(r.base_score - other.base_score) < 1e-6
+            assert abs(r.score - other.score) < 1e-6
+
+
 def test_the_model_learns_and_its_probabilities_add_up_to_one(spark):
     """Words follow each other in a fixed order, which an unordered model cannot know."""
     rows = []
