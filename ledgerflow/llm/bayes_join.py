@@ -188,9 +188,11 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ends: list[np.ndarray] = []
     roots: list[np.ndarray] = []
     for group in groups(batches):
-        ids, own = group["id"].to_numpy(), group["own"].to_numpy()
+        # In order of the ids, so that one cluster has the same roots in all its buckets.
+        order = np.argsort(group["id"].to_numpy(), kind="stable")
+        ids, own = group["id"].to_numpy()[order], group["own"].to_numpy()[order]
         pairs = allowed_pairs(own, group["one"][0].as_py(), group["two"][0].as_py())
-        left, right = surviving_pairs(_signatures(group["signature"]), pairs)
+        left, right = surviving_pairs(_signatures(group["signature"])[order], pairs)
         if len(left):
             root = local_roots(len(ids), left, right)
             told = root != np.arange(len(ids))
@@ -219,7 +221,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Where a doc_id is repeated, only the row that the class was made from counts.
         right_text = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
         first = {one: k for k, one in reversed(list(enumerate(ids.tolist()))) if right_text[k] == keys[k]}
-        chosen = np.array(sorted(first.values()), np.int64)
+        chosen = np.array([first[one] for one in sorted(first)], np.int64)
         if len(chosen) < 2:
             continue
         ids, own, copies = ids[chosen], own[chosen], copies[chosen]
