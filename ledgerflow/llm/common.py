@@ -28,10 +28,16 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def record_batches(rows: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(rows[field.name], field.type) for field in schema], schema=schema
-    )
+def text_parts(texts: list[str], size: int = 1_000_000) -> Iterator[slice]:
+    """Slices of about ``size`` characters, so that what a task derives from texts stays small."""
+    first = held = 0
+    for k, text in enumerate(texts):
+        held += len(text)
+        if held >= size:
+            yield slice(first, k + 1)
+            first, held = k + 1, 0
+    if first < len(texts):
+        yield slice(first, len(texts))
 
 
 def per_batch(

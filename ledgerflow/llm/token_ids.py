@@ -14,7 +14,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 #: Units remembered by one Python worker, about 200 bytes each; the dictionary restarts when full.
-MAX_UNITS = 800_000
+MAX_UNITS = 400_000
 #: Longer units are not remembered.
 LONG_UNIT = 64
 #: Marks that the tokenizers' patterns always part from letters.

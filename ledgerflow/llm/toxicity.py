@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerflow.llm.common import ship, text_of
+from ledgerflow.llm.common import ship, text_of, text_parts
 from ledgerflow.session import stage
 
 FEATURE_BITS = 20
@@ -139,12 +139,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owners, features = word_features(batch.column(0).to_pylist())
-            rows = [b""] * batch.num_rows
-            keys = np.unique(owners.astype(np.int64) << FEATURE_BITS | features)
-            ends = np.searchsorted(keys, np.arange(1, batch.num_rows) << FEATURE_BITS)
-            for k, part in enumerate(np.split(keys & ((1 << FEATURE_BITS) - 1), ends)):
-                rows[k] = part.astype("<i4").tobytes()
+            texts = batch.column(0).to_pylist()
+            rows: list[bytes] = []
+            for part in text_parts(texts):
+                owners, features = word_features(texts[part])
+                keys = np.unique(owners.astype(np.int64) << FEATURE_BITS | features)
+                ends = np.searchsorted(keys, np.arange(1, len(texts[part])) << FEATURE_BITS)
+                for one in np.split(keys & ((1 << FEATURE_BITS) - 1), ends):
+                    rows.append(one.astype("<i4").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.binary()), batch.column(1), batch.column(2)],
                 names=["features", "toxic", "turn"],
@@ -187,12 +189,12 @@ def with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             total = np.zeros(len(texts))
-            for at in range(0, len(texts), 512):
-                owners, features = word_features(texts[at : at + 512])
+            for part in text_parts(texts):
+                owners, features = word_features(texts[part])
                 telling = np.flatnonzero(dense[features])
                 # A feature counts once a text.
                 pairs = np.unique(owners[telling].astype(np.int64) << FEATURE_BITS | features[telling])
-                np.add.at(total, at + (pairs >> FEATURE_BITS), dense[pairs & ((1 << FEATURE_BITS) - 1)])
+                np.add.at(total, part.start + (pairs >> FEATURE_BITS), dense[pairs & ((1 << FEATURE_BITS) - 1)])
             score = 1.0 / (1.0 + np.exp(-np.clip(total + known.bias, -35, 35)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score)], names=["doc", "score"]
