@@ -21,7 +21,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerflow.llm.common import ship, text_of, words_of
 from ledgerflow.llm.components import connected_components
@@ -151,6 +151,10 @@ def similar_pairs(sets: list[np.ndarray], pairs: np.ndarray) -> tuple[np.ndarray
     return np.nonzero(pairs & (common.astype(np.float64) / union >= THRESHOLD))
 
 
+def shingle_key(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 SIGNED = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("signature", pa.binary())])
 
 
@@ -162,7 +166,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             full = [k for k, one in enumerate(sets) if len(one)]
             keys, signatures = [None] * len(sets), [None] * len(sets)
             for k, row in zip(full, min_hashes([sets[k] for k in full]) if full else ()):
-                keys[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
+                keys[k] = shingle_key(sets[k])
                 signatures[k] = row.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(at, len(sets)), pa.array(keys, pa.binary()),
@@ -219,7 +223,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         copies, keys = group["copies"].to_numpy(), group["key"].to_pylist()
         sets = [shingle_set(text) for text in group["text"].to_pylist()]
         # Where a doc_id is repeated, only the row that the class was made from counts.
-        right_text = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+        right_text = [shingle_key(s) for s in sets]
         first = {one: k for k, one in reversed(list(enumerate(ids.tolist()))) if right_text[k] == keys[k]}
         chosen = np.array([first[one] for one in sorted(first)], np.int64)
         if len(chosen) < 2:
@@ -249,6 +253,11 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     Documents without words and rows without a doc_id link with nothing; their class is their own.
     Rows that share doc_id and shingles count as two documents of one class.
     """
+    return _report(docs).select("doc_id", "class_id", "n_links", "text_class", "kept")
+
+
+def _report(docs: DataFrame) -> DataFrame:
+    """``similar_documents`` with each row's ``key`` (digest of its shingles) and ``component``."""
     ship(docs.sparkSession)
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     signed = stage(
@@ -281,28 +290,52 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     whole = whole.join(links, "id", "left").withColumn("component", F.coalesce("component", "id"))
     smallest = whole.groupBy("component").agg(F.min("first_id").alias("class_id"))
     facts = whole.join(smallest, "component").select(
-        "key", "class_id", F.col("first_id").alias("text_class"),
+        "key", "component", "class_id", F.col("first_id").alias("text_class"),
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
     usable = F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key")
     result = signed.select("doc_id", usable).join(stage(facts, "join-facts"), "key", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("text_class", "doc_id").alias("text_class"),
+        F.coalesce("text_class", "doc_id").alias("text_class"), "key", "component",
     )
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
 
 
+def _keys(texts: pa.Array) -> pa.Array:
+    sets = (shingle_set(text) for text in texts.to_pylist())
+    return pa.array([shingle_key(one) if len(one) else None for one in sets], pa.binary())
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with one document of each class of similar ones.
 
-    Rows without a doc_id stay; of rows that share a doc_id that stays, one stays.
+    Rows that share a doc_id are decided each by its own text. Where several of them are in the class
+    that their doc_id leads, the row of the smallest shingle digest stays, and of equal digests the
+    row whose columns come first as JSON. Rows without a doc_id or without words stay.
     """
-    report = stage(similar_documents(docs), "join-report")
-    ids = report.where("kept and doc_id is not null").groupBy("doc_id").count()
-    ids = stage(ids, "join-kept")
+    report = stage(_report(docs).select("doc_id", "key", "component", "kept"), "join-report")
+    ids = report.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.bool_or("kept").alias("kept")
+    )
+    ids = stage(ids.where("kept"), "join-kept")
     named = docs.where(F.col("doc_id").isNotNull())
-    rest = named.join(ids.select("doc_id"), "doc_id", "left_semi").select(*named.columns)
-    if ids.where("count > 1").limit(1).count():
-        rest = rest.dropDuplicates(["doc_id"])
+    single = ids.where("rows = 1").select("doc_id")
+    rest = named.join(single, "doc_id", "left_semi").select(*named.columns)
+    several = ids.where("rows > 1").select("doc_id")
+    if several.limit(1).count():
+        rest = rest.unionByName(_one_of_repeated(named, report, several))
     return rest.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def _one_of_repeated(named: DataFrame, report: DataFrame, several: DataFrame) -> DataFrame:
+    """What stays of the rows whose doc_id is among ``several``."""
+    leaders = report.where("kept and key is not null").join(several, "doc_id", "left_semi")
+    leaders = leaders.groupBy("component").agg(F.min("doc_id").alias("id"), F.min("key").alias("key"))
+    rows = named.join(several, "doc_id", "left_semi").select(F.struct(*named.columns).alias("doc"))
+    rows = rows.withColumn("key", F.arrow_udf(_keys, "binary")(text_of("doc.text")))
+    rows = rows.withColumn("id", F.col("doc.doc_id").cast("long"))
+    order = Window.partitionBy("id", "key").orderBy(F.to_json("doc"))
+    first = rows.join(leaders.select("id", "key"), ["id", "key"], "left_semi")
+    first = first.withColumn("place", F.row_number().over(order)).where("place = 1")
+    return first.select("doc.*").unionByName(rows.where("key is null").select("doc.*"))

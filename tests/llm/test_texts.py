@@ -76,6 +76,23 @@ def test_one_of_each_keeps_the_rest_as_it_is(spark):
     assert found.count(None) == sum(r[0] is None for r in rows)
 
 
+def test_one_of_each_decides_rows_of_one_doc_id_by_their_texts(spark):
+    one, two, copy, near = (words(k, 60, 900) for k in (1, 2, 3, 4))
+    changed = f"{near} end"
+    rows = [(3, copy), (5, copy), (5, one), (7, one + " other"), (7, two), (9, near), (9, changed)]
+    rows += [(9, changed), (11, ""), (11, words(6, 60, 900)), (12, copy), (12, near)]
+    rows = [(k, text, "en", f"s{n}", 0) for n, (k, text) in enumerate(rows)]
+    found = []
+    for some in (rows, rows[::-1]):
+        kept = bayes_join.one_of_each(frame(spark, some).repartition(3)).collect()
+        found.append(sorted((r.doc_id, r.text, r.source) for r in kept))
+    assert found[0] == found[1]
+    texts = Counter((key, text) for key, text, _ in found[0])
+    nine = [one for one in texts if one[0] == 9]
+    assert len(nine) == 1 and nine[0][1] in (near, changed)
+    assert texts == Counter([(3, copy), (5, one), (7, two), (11, ""), (11, rows[9][1]), *nine])
+
+
 def test_a_large_group_of_near_copies_is_compared_in_blocks(spark):
     """700 different texts that are all similar: more than a block of texts."""
     base = words(1, 120, 5000).split()
