@@ -229,6 +229,40 @@ def test_the_model_learns_and_its_probabilities_add_up_to_one(spark):
             assert abs(np.exp(scores - table[one, two]).sum() - 1) < 1e-6
 
 
+def test_the_vocabulary_grows_with_the_corpus(spark):
+    """Words beyond the first thousand have vectors, and all probabilities add up to one."""
+    sizes = []
+    for count in (200, 3000):
+        counts = spark.createDataFrame([(7 * k, 9 + k % 50) for k in range(count)], "word long, count long")
+        model = log_bilinear.first_model(counts, sum(9 + k % 50 for k in range(count)))
+        sizes.append(len(model.words))
+        found = model.encode(model.words)
+        assert len(set(found.tolist())) == count and found.min() == 1
+        draw = np.random.default_rng(3)
+        model.vectors[:] = draw.normal(size=model.vectors.shape)
+        model.bias[:] = draw.normal(size=len(model.bias))
+        words = np.arange(model.first_class)
+        predictor = log_bilinear.Predictor(model, np.float64)
+        for one, two in ((0, len(model.vectors) - 1), (count, count - 1), (5, 5)):
+            logs = predictor.log_probabilities(np.full(len(words), one), np.full(len(words), two), words)
+            assert abs(np.exp(logs).sum() - 1) < 1e-9
+    assert sizes == [200, 3000]
+
+
+def test_words_within_a_class_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(log_bilinear, "SINGLES", 8)
+    counts = spark.createDataFrame([(k, 1000) for k in range(60)], "word long, count long")
+    trainer = log_bilinear.Trainer(log_bilinear.first_model(counts, 60_000), 0)
+    ids = np.arange(4002) % 60 + 1
+    one, two, word = ids[1:-1], ids[:-2], ids[2:]
+    for _ in range(150):
+        trainer.step(one, two, word)
+    model = trainer.model
+    model.vectors[:], model.bias[:], model.turns[:] = trainer.rows[:, :-1], trainer.rows[:-1, -1], trainer.turns
+    logs = log_bilinear.Predictor(model).log_probabilities(one[:60], two[:60], word[:60])
+    assert np.exp(logs).mean() > 0.3
+
+
 def test_scoring_nothing(spark):
     assert log_bilinear.score_documents(frame(spark, [])).count() == 0
     one = log_bilinear.score_documents(frame(spark, [(1, None, None, None, 0)])).collect()
