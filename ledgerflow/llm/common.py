@@ -7,7 +7,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The characters that separate words, as a Java or Python class.
@@ -40,6 +42,23 @@ def text_parts(texts: list[str], size: int = 1_000_000) -> Iterator[slice]:
         yield slice(first, len(texts))
 
 
+def batch_parts(batch: pa.RecordBatch, column: int, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``size`` bytes in its text or binary column.
+
+    Cut while still Arrow, so no more than a slice becomes Python values at a time.
+    """
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first = 0
+    while first < batch.num_rows:
+        before = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def per_batch(
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

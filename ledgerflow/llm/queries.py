@@ -10,6 +10,7 @@ from ledgerflow.llm import (
     bayes_join,
     cap_dedup,
     log_bilinear,
+    merge_codec,
     mixing,
     recompression,
     toxicity,
@@ -106,3 +107,8 @@ ORACLES["op10_recompression"] = recompression.ORACLE
 @register
 def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_bilinear.score_documents(table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_merge_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
