@@ -12,10 +12,12 @@ from ledgerflow.llm import (
     log_bilinear,
     merge_codec,
     mixing,
+    ranked_search,
     recompression,
     toxicity,
     vector_topk,
     warc,
+    whitening,
 )
 from ledgerflow.llm.common import table
 from ledgerflow.llm.packing import pack
@@ -112,3 +114,18 @@ def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op13_merge_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_codec.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+ORACLES["op11_ranked_search"] = ranked_search.ORACLE
