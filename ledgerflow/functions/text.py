@@ -40,6 +40,18 @@ def _accent_tables() -> tuple[dict[str, str], dict[str, str], str]:
     return single, several, "".join(marks)
 
 
+def _runs(letters: list[str], gap: int) -> list[list[str]]:
+    """Sorted letters in runs whose neighbours lie less than ``gap`` apart; Hangul is a run."""
+    runs: list[list[str]] = []
+    for letter in letters:
+        far = not runs or ord(letter) - ord(runs[-1][-1]) >= gap
+        if far and letter != chr(HANGUL_LAST):
+            runs.append([letter])
+        else:
+            runs[-1].append(letter)
+    return runs
+
+
 def _hangul_letters(c: Column) -> Column:
     """Split each Hangul syllable into its letters with the Unicode syllable formula."""
 
@@ -77,12 +89,15 @@ def strip_accents(c: Column | str) -> Column:
     def swap(text: Column) -> Column:
         return F.translate(text, "".join(single) + marks, "".join(single.values()))
 
-    # The letters that decompose into several, and the Hangul syllables.
+    # The letters that decompose into several, and the Hangul syllables. Few ranges around them are
+    # looked for first, since a class of single letters is slow and most text has none of either.
+    letters = sorted([*several, chr(HANGUL_FIRST), chr(HANGUL_LAST)])
+    near = [f"{run[0]}-{run[-1]}" for run in _runs(letters, 0x1000)]
     spreading = f"[{''.join(several)}{chr(HANGUL_FIRST)}-{chr(HANGUL_LAST)}]"
     spread = reduce(lambda e, kv: F.replace(e, F.lit(kv[0]), F.lit(kv[1])), several.items(), c)
     return (
         F.when(F.octet_length(c) == F.char_length(c), c)
-        .when(c.rlike(spreading), swap(_hangul_letters(spread)))
+        .when(c.rlike(f"[{''.join(near)}]") & c.rlike(spreading), swap(_hangul_letters(spread)))
         .otherwise(swap(c))
     )
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerflow.functions import convert, dates
+from ledgerflow.templates import resolve_names
 
 NUMERIC, DATETIME, TEXT = "numeric", "datetime", "text"
 
@@ -136,29 +136,11 @@ def conform(
     return df.select(*out)
 
 
-def _plain(name: str) -> str:
-    return name.strip().upper()
-
-
-def map_header(header: list[str], mapping: dict[str, str] | None) -> list[str]:
-    """The header in upper case; a name that the mapping has, whatever its case, gives its target."""
-    targets = {}
-    for source, target in (mapping or {}).items():
-        targets[_plain(source)] = _plain(target)
-    out = []
-    for name in map(_plain, header):
-        out.append(targets[name] if name in targets else name)
-    return out
-
-
 def rename_by_position(
     df: DataFrame, header: list[str] | None = None, mapping: dict[str, str] | None = None
 ) -> DataFrame:
-    """The n-th column takes the n-th name of the mapped header, as far as there are both; columns
-    beyond the header keep their own name, in upper case."""
-    given = map_header(header, mapping) if header else map_header(df.columns, mapping)
-    renames = {}
-    for own, name in zip_longest(df.columns, given):
-        if own is not None:
-            renames[own] = own.upper() if name is None else name
-    return df.withColumnsRenamed(renames)
+    """The n-th column takes the n-th final name of the header, or of the frame's own without one;
+    columns beyond the header keep their name in upper case."""
+    width = len(df.columns)
+    names = resolve_names(header or df.columns, mapping or {}, loose=True)[:width]
+    return df.toDF(*names, *map(str.upper, df.columns[len(names) :]))

@@ -154,13 +154,19 @@ def amount_difference(
     )
 
 
-def split_refunds(df: DataFrame, amount: str) -> tuple[DataFrame, DataFrame]:
-    """Transactions and refunds, which are the rows of a negative amount.
+def is_refund(amount: str, decimals: int = 2) -> Column:
+    """Whether an amount, read as the sums read it, is negative.
 
-    An amount that is missing or unreadable stays with the transactions, where it shows.
+    An amount that is missing or unreadable is none; it stays with the transactions, where it shows.
     """
-    refund = F.coalesce(F.col(amount).try_cast("decimal(38,6)") < 0, F.lit(False))
-    return df.filter(~refund), df.filter(refund)
+    return F.coalesce(F.col(amount).try_cast(f"decimal(38,{decimals})") < 0, F.lit(False))
+
+
+def split_refunds(
+    df: DataFrame, amount: str, decimals: int = 2
+) -> tuple[DataFrame, DataFrame]:
+    """Transactions and refunds, which are the rows of a negative amount."""
+    return df.filter(~is_refund(amount, decimals)), df.filter(is_refund(amount, decimals))
 
 
 def reconcile_amounts(
@@ -168,7 +174,8 @@ def reconcile_amounts(
     decimals: int = 2,
 ) -> DataFrame:
     """``amount_difference`` of transactions and of refunds apart, told by ``kind``."""
-    ours, theirs = split_refunds(left, left_amount), split_refunds(right, right_amount)
+    ours = split_refunds(left, left_amount, decimals)
+    theirs = split_refunds(right, right_amount, decimals)
     found = [
         amount_difference(a, b, keys, left_amount, right_amount, decimals).withColumn("kind", F.lit(kind))
         for kind, a, b in zip(("TRANSACTION", "REFUND"), ours, theirs)
@@ -191,15 +198,16 @@ def invalid_accounts(
 
 
 def _one_per_key(lookup: DataFrame, key: str) -> DataFrame:
-    """Distinct rows of a two-column lookup; a key with two values stops the job."""
+    """Distinct rows of a two-column lookup; a key with two values stops the job.
+
+    Both steps are hash aggregates: the distinct pairs, then how many there are per key.
+    """
     value = next(c for c in lookup.columns if c != key)
-    found = lookup.groupBy(key).agg(F.min(F.struct(value)).alias("_low"), F.max(F.struct(value)).alias("_high"))
-    kind = lookup.schema[value].dataType
+    pairs = lookup.select(key, value).distinct()
+    counts = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_values"))
     message = F.concat(F.lit(f"more than one {value} for {key} "), F.col(key).cast("string"))
-    single = F.when(F.col("_low") == F.col("_high"), F.col(f"_low.{value}")).otherwise(
-        F.raise_error(message).cast(kind)
-    )
-    return found.select(key, single.alias(value))
+    checked = F.when(F.col("_values") > 1, F.raise_error(message).cast(lookup.schema[value].dataType))
+    return pairs.join(counts, key).select(key, checked.otherwise(F.col(value)).alias(value))
 
 
 def detokenise(

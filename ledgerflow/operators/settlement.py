@@ -9,20 +9,17 @@ very large report is shared out over many tasks.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ledgerflow.functions.dates import date_from_page_header, timestamp_from_text
 from ledgerflow.functions.text import clean_line, file_date, normalise_label
-from ledgerflow.sources.lines import (
-    BLOCK,
-    FILE,
-    LINE,
-    VALUE,
-    carry_over_blocks,
-    read_lines,
-    scan_blocks,
-)
+from ledgerflow.session import stage
+from ledgerflow.sources.lines import BLOCK, FILE, VALUE, read_lines
 
 # The columns of the report table, in order.
 REPORT_HEADER = (
@@ -86,11 +83,6 @@ SYSTEM_DATE = r"SYSTEM DATE\s+(\d{2}/\d{2}/\d{2})"
 PROCESSING_DATE = r"\bCPD\s+(\d{2}/\d{2}/\d{2})"
 GAP = r"\s{2,}"
 
-REPORT, RECORD = "report_no", "record"
-# Values of a record that come from around it, not from its lines.
-PAGE_SYSTEM, PAGE_CPD, REPORT_NAME = "#system", "#cpd", "#name"
-SLOTS = (*REPORT_HEADER, PAGE_SYSTEM, PAGE_CPD, REPORT_NAME)
-
 
 def _plain(label: str) -> str:
     return re.sub(r"[\s\-]+", " ", label.lower()).strip()
@@ -127,8 +119,7 @@ def _lookup_text(label: str) -> Column:
 
 
 def _known_labels(df: DataFrame, into: str) -> DataFrame:
-    names = {**label_prefixes(), PAGE_SYSTEM: PAGE_SYSTEM, PAGE_CPD: PAGE_CPD, REPORT_NAME: REPORT_NAME}
-    return df.sparkSession.createDataFrame(list(names.items()), f"_plain string, {into} string")
+    return df.sparkSession.createDataFrame(list(label_prefixes().items()), f"_plain string, {into} string")
 
 
 def map_labels(df: DataFrame, label: str, into: str = "header") -> DataFrame:
@@ -147,89 +138,189 @@ def unmapped_labels(df: DataFrame, label: str) -> DataFrame:
     return left.groupBy(label).agg(F.count(F.lit(1)).alias("lines"))
 
 
-def split_reports(lines: DataFrame, name: Column) -> DataFrame:
-    """Lines to report, record, line, label and text, plus the page dates and report name.
+#: What a row of ``scan_records`` is: a record that ends in its block, lines that go on with the last
+#: record of an earlier block, a record still open at the end of its block, and a block's own facts.
+WHOLE, HEAD, OPEN, FACTS = range(4)
+KIND, NAME, SYSTEM, CPD, VALUES = "kind", "name", "page_system", "page_cpd", "values"
+SCANNED = (
+    f"{FILE} string, {BLOCK} long, {KIND} int, {NAME} string, {SYSTEM} string, {CPD} string, "
+    f"{VALUES} array<string>"
+)
+
+
+def split_lines(lines: DataFrame, name: Column) -> DataFrame:
+    """Lines with what a report needs of them: record starts, page dates, looked-up label and value.
 
-    The latter come as labels of their own, one set per record. Lines above the first record of a
-    file belong to none and are left out.
+    Lines that are none of these stay, since a block without any record is a block, too.
     """
     text = F.col("text")
 
     def dated(word: str, pattern: str) -> Column:
         return F.when(text.contains(word), F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")))
 
-    parts = lines.select(
-        FILE, BLOCK, name.alias("name"), F.trim(clean_line(VALUE)).alias("text")
-    ).select(
-        FILE,
-        BLOCK,
-        "name",
-        (text.startswith("TCR") & text.rlike(RECORD_START)).alias("starts"),
-        dated("SYSTEM DATE", SYSTEM_DATE).alias("system_date"),
-        dated("CPD", PROCESSING_DATE).alias("cpd"),
-        F.split(text, GAP, 2).alias("pair"),
-    )
-    scanned = scan_blocks(
-        parts,
-        counts={RECORD: "starts"},
-        carry={"page_system": "system_date", "page_cpd": "cpd"},
-    )
+    pair = F.split(text, GAP, 2)
+    starts = text.startswith("TCR") & text.rlike(RECORD_START)
+    parts = lines.select(FILE, BLOCK, name.alias(NAME), F.trim(clean_line(VALUE)).alias("text")).select(
+        FILE, BLOCK, NAME, starts.alias("starts"), dated("SYSTEM DATE", SYSTEM_DATE).alias(SYSTEM),
+        dated("CPD", PROCESSING_DATE).alias(CPD), F.when(~starts, pair).alias("pair"),
+    )
     paired = F.size("pair") == 2
-    useful = scanned.filter(
-        F.col("starts") | paired | F.col("system_date").isNotNull() | F.col("cpd").isNotNull()
-    )
-    carried = carry_over_blocks(
-        useful, [LINE, RECORD], ["page_system", "page_cpd"], file_number=REPORT
-    )
+    return parts.select(
+        FILE, BLOCK, NAME, "starts", SYSTEM, CPD,
+        F.when(paired, _lookup_text(F.get("pair", F.lit(0)))).alias("label"),
+        F.when(paired, F.trim(F.get("pair", F.lit(1)))).alias("value"),
+    )
+
 
-    def entry(label: Column, value: Column) -> Column:
-        return F.struct(label.alias("label"), value.alias("text"))
+def scan_records(lines: DataFrame) -> DataFrame:
+    """Records of each block of lines, in one narrow pass, see SCANNED.
 
-    opening = F.array(
-        entry(F.lit(PAGE_SYSTEM), F.col("page_system")),
-        entry(F.lit(PAGE_CPD), F.col("page_cpd")),
-        entry(F.lit(REPORT_NAME), F.col("name")),
+    ``lines`` come from ``split_lines``, in the order of the file. A record's first value per header
+    is kept by the header's place. Page dates are those in force where a record starts, as far as the
+    block tells. Per block there are at most one HEAD and one OPEN row, and a FACTS row with the last
+    page dates, which says whether a record starts in the block (one value) or not (none).
+    """
+    labels = label_prefixes()
+    places = {h: k for k, h in enumerate(REPORT_HEADER)}
+    width = len(REPORT_HEADER)
+
+    # Everything the tasks run is nested here, so executors need no copy of this package.
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        beginnings = pa.array(list(labels))
+        place_of = np.array([places[h] for h in labels.values()] + [-1])
+        schema = pa.schema(
+            [(FILE, pa.string()), (BLOCK, pa.int64()), (KIND, pa.int32()), (NAME, pa.string()),
+             (SYSTEM, pa.string()), (CPD, pa.string()), (VALUES, pa.list_(pa.string()))]
+        )
+        rows: list[tuple] = []
+        # The unit of lines at hand: file, block, kind, name, page dates, values by header.
+        unit: list | None = None
+        dates: list[str | None] = [None, None]
+        any_start = False
+
+        def close(block_ends: bool) -> None:
+            nonlocal unit, dates, any_start
+            if unit is not None and (unit[2] != HEAD or any(v is not None for v in unit[6])):
+                if unit[2] == OPEN and not block_ends:
+                    unit[2] = WHOLE
+                rows.append(tuple(unit))
+            if block_ends and unit is not None:
+                rows.append((*unit[:2], FACTS, unit[3], *dates, ["starts"] if any_start else []))
+                dates, any_start = [None, None], False
+            unit = None
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*rows))
+            rows.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
+            )
+
+        for batch in batches:
+            size = batch.num_rows
+            if not size:
+                continue
+            file, block = batch.column(FILE), batch.column(BLOCK).to_numpy(zero_copy_only=False)
+            codes = file.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            starts = batch.column("starts").to_numpy(zero_copy_only=False).astype(bool)
+            new_block = np.zeros(size, bool)
+            new_block[1:] = (codes[1:] != codes[:-1]) | (block[1:] != block[:-1])
+            new_block[0] = unit is None or (file[0].as_py(), int(block[0])) != tuple(unit[:2])
+            # Only lines that open a unit, hold a value or a date are looked at one by one.
+            found = pc.index_in(batch.column("label"), beginnings)
+            place = place_of[pc.fill_null(found, len(beginnings)).to_numpy(zero_copy_only=False)]
+            dated = np.zeros(size, bool)
+            for column in (SYSTEM, CPD):
+                dated |= batch.column(column).is_valid().to_numpy(zero_copy_only=False)
+            chosen = np.flatnonzero(new_block | starts | dated | (place >= 0))
+            some = batch.take(pa.array(chosen))
+            values, system, cpd = (some.column(c).to_pylist() for c in ("value", SYSTEM, CPD))
+            for k, at in enumerate(chosen.tolist()):
+                if new_block[at]:
+                    close(True)
+                    unit = [file[at].as_py(), int(block[at]), HEAD, batch.column(NAME)[at].as_py(),
+                            None, None, [None] * width]
+                if dated[at]:
+                    dates = [system[k] or dates[0], cpd[k] or dates[1]]
+                if starts[at]:
+                    kept = unit[:2], unit[3]
+                    close(False)
+                    any_start = True
+                    unit = [*kept[0], OPEN, kept[1], *dates, [None] * width]
+                elif place[at] >= 0 and unit[6][place[at]] is None:
+                    unit[6][place[at]] = values[k]
+            if len(rows) >= 2000:
+                yield flush()
+        close(True)
+        if rows:
+            yield flush()
+
+    return lines.mapInArrow(scan, SCANNED)
+
+
+def stitch_records(scanned: DataFrame) -> DataFrame:
+    """Whole records (``name``, page dates, ``values``) of scanned blocks.
+
+    A record within one block is whole already. What an open record left in later blocks comes back
+    to it in one exchange, combined by header before it moves, so neither a record over very many
+    blocks nor a file of very many records meets in one task. One small row per block carries page
+    dates and the block of the last record start on to the blocks below.
+    """
+    facts = scanned.where(F.col(KIND) == FACTS)
+    before = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+
+    def last(value: Column) -> Column:
+        return F.last(value, ignorenulls=True).over(before)
+
+    carried = facts.select(
+        FILE, BLOCK,
+        last(F.when(F.size(VALUES) > 0, F.col(BLOCK))).alias("_opener"),
+        last(F.col(SYSTEM)).alias("_system"), last(F.col(CPD)).alias("_cpd"),
+    )
+    # Staged, so the optimizer knows their size and broadcasts them where that is small enough.
+    joined = scanned.where(F.col(KIND) < FACTS).join(stage(carried, "blocks"), [FILE, BLOCK], "left")
+    joined = joined.withColumns(
+        {SYSTEM: F.coalesce(SYSTEM, "_system"), CPD: F.coalesce(CPD, "_cpd")}
     )
-    own = F.array(entry(F.get("pair", F.lit(0)), F.trim(F.get("pair", F.lit(1)))))
-    entries = F.when(F.col("starts"), opening).when(paired, own)
-    return (
-        carried.filter(F.col(RECORD) > 0)
-        .select(REPORT, RECORD, LINE, F.explode(entries).alias("e"))
-        .select(REPORT, RECORD, LINE, "e.label", "e.text")
+    whole = joined.where(F.col(KIND) == WHOLE).select(NAME, SYSTEM, CPD, VALUES)
+    is_open = F.col(KIND) == OPEN
+    parts = joined.where(F.col(KIND).isin(HEAD, OPEN)).withColumn(
+        "_opener", F.when(is_open, F.col(BLOCK)).otherwise(F.col("_opener"))
     )
 
+    def first(k: int) -> Column:
+        value = F.get(F.col(VALUES), F.lit(k))
+        return F.min_by(value, F.when(value.isNotNull(), F.col(BLOCK)))
+
+    merged = parts.where(F.col("_opener").isNotNull()).groupBy(FILE, "_opener").agg(
+        *[F.max(F.when(is_open, F.col(c))).alias(c) for c in (NAME, SYSTEM, CPD)],
+        F.array(*[first(k) for k in range(len(REPORT_HEADER))]).alias(VALUES),
+    )
+    return whole.unionByName(merged.select(NAME, SYSTEM, CPD, VALUES))
+
 
 def parse_reports(lines: DataFrame, name: Column) -> DataFrame:
     """One row per record with the 51 report columns.
 
-    The first value of a label wins. Values are brought together per record and label first, so a
-    record with very many lines is combined before it moves, and the list that is then made per
-    record holds one value per header at most. Identifiers stay text; the amounts are whole
-    decimals, Purchase Date is a timestamp, Record Date comes from the report's name.
+    The first value of a label wins. Lines above the first record of a file belong to none. A record
+    is put together where its block is read; only records across block borders are exchanged.
+    Identifiers stay text; the amounts are whole decimals, Purchase Date is a timestamp, Record Date
+    comes from the report's name.
     """
-    fields = map_labels(split_reports(lines, name), "label")
-    slot = F.array_position(F.lit(list(SLOTS)), F.col("header")).cast("int").alias("slot")
-    firsts = (
-        fields.select(REPORT, RECORD, LINE, slot, "text")
-        .groupBy(REPORT, RECORD, "slot")
-        .agg(F.min_by("text", LINE).alias("text"))
-    )
-    values = F.map_from_entries(F.collect_list(F.struct("slot", "text"))).alias("values")
-    records = firsts.groupBy(REPORT, RECORD).agg(values)
-
-    def found(header: str) -> Column:
-        return F.try_element_at("values", F.lit(SLOTS.index(header) + 1))
+    records = stitch_records(stage(scan_records(split_lines(lines, name)), "records"))
 
     def column(header: str) -> Column:
-        value = file_date(found(REPORT_NAME)) if header == "Record Date" else found(header)
-        if header in AMOUNT_COLUMNS:
+        value = F.get(F.col(VALUES), F.lit(REPORT_HEADER.index(header)))
+        if header == "Record Date":
+            value = file_date(NAME)
+        elif header in AMOUNT_COLUMNS:
             value = value.try_cast("decimal(38,0)")
         elif header == "Purchase Date":
             value = timestamp_from_text(value)
         elif header == "System Date":
-            value = F.coalesce(value, _page_date(found(PAGE_SYSTEM)))
+            value = F.coalesce(value, _page_date(F.col(SYSTEM)))
         elif header == "CPD":
-            value = F.coalesce(value, _page_date(found(PAGE_CPD)))
+            value = F.coalesce(value, _page_date(F.col(CPD)))
         return value.alias(header)
 
     return records.select(*[column(h) for h in REPORT_HEADER])

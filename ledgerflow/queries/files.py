@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerflow.operators.aggregates import load_audit
 from ledgerflow.operators.settlement import REPORT_HEADER, table_column
 from ledgerflow.plans.jobs import import_reports
 from ledgerflow.queries.registry import query
@@ -182,6 +183,25 @@ def import_stop_empty(spark, sf):
     return import_delimited(spark, path, template)
 
 
+#: Columns of parts, in files of two, four and six columns.
+PART_COLUMNS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_container")
+
+
+@query("""SELECT cast(p_partkey AS VARCHAR) AS "C1", p_name AS "C2",
+       CASE WHEN p_partkey % 3 > 0 THEN p_brand END AS "C3", CASE WHEN p_partkey % 3 > 0 THEN p_type END AS "C4",
+       CASE WHEN p_partkey % 3 = 2 THEN cast(p_size AS VARCHAR) END AS "C5",
+       CASE WHEN p_partkey % 3 = 2 THEN 'box ' || p_brand END AS "C6" FROM part""")
+def import_mixed_width(spark, sf):
+    """Headerless files of two, four and six columns in one import; each file's first row rules."""
+    path = scratch_path(spark, "import")
+    parts = table(spark, sf, "part").withColumn("p_container", F.concat(F.lit("box "), "p_brand"))
+    for kind in range(3):
+        rows = parts.filter(F.col("p_partkey") % 3 == kind).select(*PART_COLUMNS[: 2 * kind + 2])
+        write_csv(rows, f"{path}/{kind}", header=False, sep="|")
+    template = ImportTemplate(table_name="part_import", start_row=1, sheet_rules=True)
+    return import_delimited(spark, [f"{path}/{kind}" for kind in range(3)], template)
+
+
 def flat(c: str):
     """Line breaks and tabs to blanks, since an import line is one row."""
     return F.trim(F.regexp_replace(c, r"[\r\n\t]", " "))
@@ -354,6 +374,15 @@ def report_import(spark, sf):
     return found.withColumns({c: F.col(c).cast("bigint") for c in amounts})
 
 
+@query("""SELECT 'report_table' AS table_name, count(*) AS row_count, 'SUCCESS' AS status FROM orders""")
+def report_audit(spark, sf):
+    """The audit row of a report import: what the report table holds against the records sent."""
+    path, target = scratch_path(spark, "reports"), scratch_path(spark, "report-table")
+    write_reports(spark, sf, path)
+    sent = import_reports(spark, path, lambda rows: write_parquet(rows, target), "report")
+    return load_audit(src.read_parquet(spark, target), "report_table", sent.count())
+
+
 def write_messages(spark: SparkSession, sf: str, path: str) -> None:
     """Events as binary key/value messages."""
     events = table(spark, sf, "events")

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import csv
-import logging
+import functools
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerflow.session import stage
@@ -18,9 +21,7 @@ from ledgerflow.sources.lines import (
     read_lines,
     scan_blocks,
 )
-from ledgerflow.templates import ImportTemplate
-
-log = logging.getLogger(__name__)
+from ledgerflow.templates import ImportTemplate, resolve_names
 
 LATIN = "ISO-8859-1"
 UTF8_NAMES = ("UTF-8", "UTF8", "UTF_8", "ASCII", "US-ASCII", "UTF-8-SIG")
@@ -77,7 +78,7 @@ def _is_filled(template: ImportTemplate) -> Column:
 
 
 def window_rows(lines: DataFrame, template: ImportTemplate) -> DataFrame:
-    """Lines of the template's row window.
+    """Lines of the template's row window, with their numbers where those were needed.
 
     A start row alone is settled inside the first block of each file. An end row, or reading up to
     the first empty row, needs numbers along the whole file and stages the lines once.
@@ -89,7 +90,7 @@ def window_rows(lines: DataFrame, template: ImportTemplate) -> DataFrame:
             return marked.filter(FILLED).drop(FILLED)
         scanned = scan_blocks(marked)
         heading = (F.col(BLOCK) == 0) & (F.col(LINE) <= template.skip_rows)
-        return scanned.filter(~heading & F.col(FILLED)).drop(FILLED, LINE)
+        return scanned.filter(~heading & F.col(FILLED)).drop(FILLED)
 
     scanned = scan_blocks(marked, counts={"_nth": FILLED})
     numbered = carry_over_blocks(scanned, [LINE, "_nth"])
@@ -112,43 +113,70 @@ def window_rows(lines: DataFrame, template: ImportTemplate) -> DataFrame:
         body = body.join(stage(end, "ends"), FILE, "left").filter(
             F.col("_end").isNull() | (F.col(LINE) < F.col("_end"))
         )
-    return body.filter(FILLED).select(*lines.columns)
+    return body.filter(FILLED).select(*lines.columns, LINE)
+
 
+#: Columns of the width table of headerless files.
+WIDTH, GOES_ON = "_width", "_goes_on"
 
-def mapped_header(header: list[str], mapping: dict[str, str]) -> list[str]:
-    """Target names in upper case. A map that is not as long as the header is left out, and told."""
-    fits = len(mapping) == len(header)
-    if mapping and not fits:
-        strangers = ", ".join(sorted(set(header).difference(mapping)))
-        log.warning("map of %d names left out for a header of %d: %s", len(mapping), len(header), strangers)
-    targets = mapping if fits else {}
-    return [str(targets.get(name, name)).upper() for name in header]
 
+def first_rows(rows: DataFrame, template: ImportTemplate) -> DataFrame:
+    """Per file the cells that its first row says to take, and whether rows may go on beyond them.
 
-def _first_row(rows: DataFrame, separator: str) -> list[str]:
-    """Cells of one data row, read at plan time to learn the width of headerless data."""
-    line = rows.select(VALUE).head(1)
-    if not line:
-        return []
-    text = line[0][0]
-    return text.split(separator) if len(separator) > 1 else next(csv.reader([text], delimiter=separator))
+    As many as the first row holds; under sheet rules its first empty cell ends the data. One narrow
+    pass gives the first row of each block, and the first block of a file decides, so what is brought
+    together is one row per block. Rows without numbers must still be in the order of the files.
+    """
+    separator, skip, sheet = template.separator, template.first_col, template.sheet_rules
+
+    # Everything the tasks run is nested here, so executors need no copy of this package.
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here: tuple | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, block, value, line = (batch.column(k) for k in range(4))
+            codes = file.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            place = block.to_numpy(zero_copy_only=False)
+            fresh = np.ones(batch.num_rows, bool)
+            fresh[1:] = (codes[1:] != codes[:-1]) | (place[1:] != place[:-1])
+            fresh[0] = (file[0].as_py(), int(place[0])) != here
+            here = (file[-1].as_py(), int(place[-1]))
+            found = []
+            for k in np.flatnonzero(fresh).tolist():
+                # Bytes that are no UTF-8 are no separator either.
+                text = bytes(value[k].as_py()).decode("utf-8", "replace")
+                if len(separator) > 1:
+                    cells = text.split(separator)[skip:]
+                else:
+                    cells = next(csv.reader([text], delimiter=separator))[skip:]
+                ends = sheet and "" in cells
+                width = cells.index("") if ends else len(cells)
+                found.append((file[k].as_py(), int(place[k]), line[k].as_py(), width, ends))
+            if found:
+                columns = [pa.array(c) for c in zip(*found)]
+                yield pa.RecordBatch.from_arrays(columns, names=[FILE, BLOCK, LINE, WIDTH, GOES_ON])
+
+    line = F.col(LINE) if LINE in rows.columns else F.lit(0).cast("long").alias(LINE)
+    blocks = rows.select(FILE, BLOCK, F.col(VALUE).cast("binary").alias(VALUE), line).mapInArrow(
+        scan, f"{FILE} string, {BLOCK} long, {LINE} long, {WIDTH} long, {GOES_ON} boolean"
+    )
+    first = F.min(F.struct(BLOCK, LINE, WIDTH, GOES_ON)).alias("first")
+    return blocks.groupBy(FILE).agg(first).select(FILE, f"first.{WIDTH}", f"first.{GOES_ON}")
 
 
-def _width(template: ImportTemplate, rows: DataFrame) -> tuple[int, bool]:
-    """Columns to take, and whether rows may go on beyond them.
+def open_quote(separator: str) -> Column:
+    """Whether a line ends inside a quoted cell, so that the cell goes on in the next line.
 
-    Up to the end column, else one per header name, else as many as the first row holds; under
-    sheet rules the first empty cell of that row ends headerless data. Files of other widths cannot
-    be told by one row: where their rows go on although that row did not, the import stops.
+    An odd number of quotes is needed for that, which spares nearly all lines the pattern; a quote
+    within an unquoted cell is a letter like any other.
     """
-    if template.end_col > 0:
-        return template.end_col - template.first_col, True
-    if template.header:
-        return len(template.header), True
-    cells = _first_row(rows, template.separator)[template.first_col :]
-    if template.sheet_rules and "" in cells:
-        return cells.index(""), True
-    return len(cells), False
+    sep = re.escape(separator)
+    closed = f'"(?:[^"]++|"")*+"(?!")(?:(?!{sep}).)*+'
+    plain = f'(?!")(?:(?!{sep}).)*+'
+    pattern = f'(?s)^(?:(?:{closed}|{plain}){sep})*+"(?:[^"]++|"")*+$'
+    quotes = F.length(VALUE) - F.length(F.replace(F.col(VALUE), F.lit('"'), F.lit("")))
+    return F.col(VALUE).contains('"') & (quotes % 2 == 1) & F.col(VALUE).rlike(pattern)
 
 
 def import_delimited(
@@ -161,21 +189,30 @@ def import_delimited(
 ) -> DataFrame:
     """Read text files into upper-cased, mapped text columns.
 
-    Row and column windows, header fit and per-file encoding follow the template. ``strict`` (the
-    default without sheet rules) stops the job at a row with more cells than there are columns;
-    otherwise the surplus is cut, if there is a header to cut by. ``detect_encoding=False`` takes UTF-8 on trust and so saves the
-    pass that checks it. Missing cells are NULL. Values stay text, so leading zeros
-    survive. A line break inside quotes is not supported. A missing path raises.
+    Row and column windows, header fit and per-file encoding follow the template. The columns end at
+    the end column, else with the header names; without both, each file's own first row says how many
+    cells it has, and the widest file how many columns come out. ``strict`` (the default without
+    sheet rules) stops the job at a row with more cells than there are columns; otherwise the surplus
+    is cut, if a header, or an empty cell of the file's first row, says where. ``detect_encoding=False``
+    takes UTF-8 on trust and so saves the pass that checks it. Missing cells are NULL. Values stay
+    text, so leading zeros survive. A line break inside quotes stops the job. A missing path raises.
     """
     strict = not template.sheet_rules if strict is None else strict
     lines = read_lines(spark, paths)
     rows = window_rows(lines, template)
+    per_file = template.end_col <= 0 and not template.header
+    if per_file:
+        widths = stage(first_rows(rows, template), "widths")
+        width = widths.agg(F.max(WIDTH)).first()[0] or 0
+        # Staged, so the optimizer knows their size and broadcasts them where that is small enough.
+        rows = rows.join(widths, FILE, "left")
+    else:
+        width = template.end_col - template.first_col if template.end_col > 0 else len(template.header)
     if detect_encoding or known_encoding(template.encoding):
         rows = decode_lines(rows, lines, template.encoding)
 
-    width, open_end = _width(template, rows)
     end = template.first_col + width
-    names = mapped_header(list(template.header), template.column_mapping)
+    names = resolve_names(template.header, template.column_mapping)
     if not names:
         names = [f"C{i}" for i in range(template.first_col + 1, end + 1)]
     repeated = sorted({n for n in names if names.count(n) > 1})
@@ -188,21 +225,33 @@ def import_delimited(
     schema = ", ".join(f"{c} string" for c in [*cells, "surplus"])
     options = {"sep": template.separator, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
     parsed = rows.select("*", F.from_csv(VALUE, schema, options).alias("row"))
-    # The width check rides on every cell, so it runs whichever columns are read, and the line is
-    # parsed only once.
-    message = F.concat(F.lit(f"more than {end} cells in "), F.col(FILE), F.lit(": "), F.col(VALUE))
+
+    # Headerless data that goes on beyond its own file's width is never cut in silence, whatever the
+    # rules.
     too_wide = F.col("row.surplus").isNotNull()
-    # Headerless data of another width is never cut in silence, whatever the rules.
-    checked = template.end_col == 0 and (strict or not open_end)
+    allowed = F.lit(end)
+    if per_file:
+        allowed = F.col(WIDTH) + template.first_col
+        beyond = [F.col(f"row.c{k}").isNotNull() & (allowed <= k) for k in range(template.first_col, end)]
+        too_wide = ~F.col(GOES_ON) & functools.reduce(lambda a, b: a | b, beyond, too_wide)
+    where = F.concat(F.lit("in "), F.col(FILE), F.lit(": "), F.col(VALUE))
+    breaks = F.concat(F.lit("a line break inside quotes "), where)
+    fault = F.when(open_quote(template.separator), F.raise_error(breaks).cast("string"))
+    if per_file or (strict and template.end_col <= 0):
+        message = F.concat(F.lit("more than "), allowed.cast("string"), F.lit(" cells "), where)
+        fault = fault.when(too_wide, F.raise_error(message).cast("string"))
+    # The checks ride on every cell, so they run whichever columns are read, and the line is parsed
+    # only once.
+    parsed = parsed.withColumn("_fault", fault)
     missing = MISSING_TEXTS if template.missing_texts else ("",)
 
     def cell(i: int) -> Column:
         value = F.col(f"row.c{i}")
-        if not checked:
-            return F.when(~value.isin(*missing), value)
-        return F.when(too_wide, F.raise_error(message).cast("string")).when(
-            ~value.isin(*missing), value
-        )
+        kept = ~value.isin(*missing)
+        if per_file:
+            kept = kept & (allowed > i)
+        # The fault is NULL, or stops the job.
+        return F.when(F.col("_fault").isNotNull(), F.col("_fault")).when(kept, value)
 
     # Header names beyond the data come out as NULL columns; cells beyond the header are cut.
     out = [

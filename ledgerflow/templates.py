@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+log = logging.getLogger(__name__)
+
 # Texts that switch a template flag on.
 IMPORT_FLAG_TEXTS = ("true", "1", "yes")
 EXPORT_FLAG_TEXTS = ("true", "1", "yes", "y")
@@ -17,6 +21,25 @@ def read_flag(value: Any, texts: tuple[str, ...]) -> bool:
     return value.lower() in texts if isinstance(value, str) else bool(value)
 
 
+def resolve_names(header: Sequence[str], mapping: dict[str, str], loose: bool = False) -> list[str]:
+    """Final column names of a whole header, in upper case.
+
+    A name that the map holds gives its target. ``loose`` compares names trimmed and in any case and
+    takes a map of any length; otherwise names must be equal, and a map that is not as long as the
+    header is left out altogether, and told.
+    """
+    if mapping and not loose and len(mapping) != len(header):
+        strangers = ", ".join(sorted(set(header).difference(mapping)))
+        log.warning("map of %d names left out for a header of %d: %s", len(mapping), len(header), strangers)
+        mapping = {}
+
+    def form(name: str) -> str:
+        return name.strip().upper() if loose else name
+
+    final = dict(zip(map(form, mapping), mapping.values()))
+    return [form(str(final.get(form(name), name))).upper() for name in header]
+
+
 @dataclass(frozen=True)
 class LoadSettings:
     """How imported rows reach their target."""

@@ -7,7 +7,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from ledgerflow.functions import convert
-from ledgerflow.operators.conform import CatalogColumn, conform, map_header, rename_by_position
+from ledgerflow.templates import resolve_names
+from ledgerflow.operators.conform import CatalogColumn, conform, rename_by_position
 
 RELAXED = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -188,7 +189,7 @@ def test_header_map(spark):
         rows, ["Bank Name", "Bank Code"], {" bank name ": "bank_name", "BANK CODE": "acq_bank_code"}
     )
     assert named.columns == ["BANK_NAME", "ACQ_BANK_CODE", "EXTRA"]
-    assert map_header(["x ", "y"], None) == ["X", "Y"]
+    assert resolve_names(["x ", "y"], {}, loose=True) == ["X", "Y"]
     assert rename_by_position(rows).columns == ["A", "B", "EXTRA"]
 
 

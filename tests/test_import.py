@@ -12,7 +12,6 @@ from ledgerflow.sources.delimited import (
     fit_staging_slots,
     import_delimited,
     import_summary,
-    mapped_header,
     source_files,
 )
 from ledgerflow.sources.lines import (
@@ -24,7 +23,7 @@ from ledgerflow.sources.lines import (
     read_lines,
     scan_blocks,
 )
-from ledgerflow.templates import ImportTemplate, LoadSettings
+from ledgerflow.templates import ImportTemplate, LoadSettings, resolve_names
 
 
 def write(folder, name, lines, encoding="utf-8", end="\n"):
@@ -111,6 +110,40 @@ def test_headerless_rows_of_other_widths_lose_nothing(spark, tmp_path):
     assert rows(wide) == [("1", "2", "3", "4"), ("1", "2", None, None)]
 
 
+def test_each_headerless_file_has_a_width_of_its_own(spark, tmp_path, small_blocks):
+    """Under sheet rules an empty cell in a file's first row ends that file's data, no other's."""
+    write(tmp_path / "in", "a.csv", ["a,b,,d", "e,f,g,h"])
+    path = write(tmp_path / "in", "b.csv", ["1,2,3,4", "5,6"])
+    out = import_delimited(spark, path, template(sheet_rules=True, start_row=1))
+    assert rows(out) == [("1", "2", "3", "4"), ("5", "6", None, None), ("a", "b", None, None), ("e", "f", None, None)]
+    write(tmp_path / "in", "c.csv", ["", "x,y,z,u,v,w", *[f"{n}," + "q" * 40 for n in range(30)]])
+    for settings in ({}, {"sheet_rules": True}, {"end_row": 40}):
+        out = import_delimited(spark, path, template(start_row=1, **settings))
+        assert out.columns == [f"C{k}" for k in range(1, 7)] and out.count() == 35
+        assert ("x", "y", "z", "u", "v", "w") in rows(out)
+    moved = import_delimited(spark, path, template(start_row=1, start_col=3, sheet_rules=True))
+    assert ("3", "4", None, None) in rows(moved) and ("z", "u", "v", "w") in rows(moved)
+    write(tmp_path / "in", "c.csv", ["x,y,z,u,v,w", "1,2,3,4,5,6,7"])
+    with pytest.raises(Exception, match="more than 6 cells"):
+        import_delimited(spark, path, template(start_row=1)).collect()
+    write(tmp_path / "in", "c.csv", ["x", "1,2"])
+    with pytest.raises(Exception, match="more than 1 cells"):
+        import_delimited(spark, path, template(start_row=1, sheet_rules=True)).select("C4").collect()
+
+
+def test_a_line_break_inside_quotes_stops_the_import(spark, tmp_path):
+    kept = ["h,i", '5" pipe,x', '"a ""b"" c",5"', '"a,""b",c"d"e', '"",""', 'x,""""']
+    path = write(tmp_path / "in", "a", kept)
+    for settings, count in (({}, 5), ({"sheet_rules": True}, 4)):
+        out = import_delimited(spark, path, template(header=("a", "b"), **settings), strict=False)
+        assert ('5" pipe', "x") in rows(out) and out.count() == count
+    for broken in ('1,"two', '"a ""b""', '"a,b",x,"', '"two ""'):
+        write(tmp_path / "in", "a", ["h,i", "1,2", broken, 'lines",x'])
+        for settings in ({"header": ("a", "b")}, {"sheet_rules": True}, {"header": ("a", "b"), "end_col": 2}):
+            with pytest.raises(Exception, match="line break inside quotes"):
+                import_delimited(spark, path, template(**settings)).select(F.col("*")).collect()
+
+
 def test_unknown_encodings_are_refused_before_the_job(spark, tmp_path):
     path = write(tmp_path / "in", "a", ["h", "é"], encoding="latin-1")
     with pytest.raises(ValueError, match="windows-1252"):
@@ -203,9 +236,9 @@ def test_header_fit(spark, tmp_path):
 
 
 def test_a_map_of_another_length_is_left_out():
-    assert mapped_header(["a", "b"], {"a": "x", "b": "y"}) == ["X", "Y"]
-    assert mapped_header(["a", "b"], {"a": "x"}) == ["A", "B"]
-    assert mapped_header(["a"], {}) == ["A"]
+    assert resolve_names(["a", "b"], {"a": "x", "b": "y"}) == ["X", "Y"]
+    assert resolve_names(["a", "b"], {"a": "x"}) == ["A", "B"]
+    assert resolve_names(["a"], {}) == ["A"]
 
 
 def test_repeated_names_and_missing_files(spark, tmp_path):

@@ -5,16 +5,20 @@ import random
 from decimal import Decimal
 
 from conftest import plan_of
+from pyspark.sql import functions as F
 
 from ledgerflow.operators.settlement import (
     REPORT_HEADER,
     map_labels,
     unmapped_labels,
     read_reports,
+    scan_records,
+    split_lines,
     table_column,
     to_report_table,
 )
 from ledgerflow.plans.jobs import import_reports
+from ledgerflow.sources.lines import read_lines
 
 SAMPLE = """
 ACME CLEARING HOUSE
@@ -128,3 +132,40 @@ def test_only_small_tables_are_broadcast_and_no_nested_loop(spark, tmp_path):
     path = put(tmp_path, "20251103_R.TXT", SAMPLE)
     plan = plan_of(to_report_table(read_reports(spark, path)))
     assert "NestedLoop" not in plan and "SinglePartition" not in plan
+
+
+def test_one_record_over_many_blocks(spark, tmp_path, small_blocks):
+    """A third of all lines in one record, page dates from far above, blocks without any record."""
+    day = ["SYSTEM DATE 05/17/24   CPD 05/18/24", *["heading"] * 60]
+    long = ["TCR 0 Record", "VMID  first", *[f"No such label   {k}" for k in range(300)], "VMID  second",
+            *[f"filler line {k}" for k in range(100)], "Product Id  late", "CPD 01/02/24",
+            *[f"filler line {k}" for k in range(100)], "Merchant Name  last  one"]
+    rest = [line for k in range(150) for line in ("TCR 0 Record", f"VMID  v{k}", "Product Id  p")]
+    above = ["VMID  above all", *[f"line {k}" for k in range(80)]]
+    put(tmp_path, "20240519_A.TXT", "\n".join([*above, *day, *long, *rest]))
+    path = put(tmp_path, "20240520_B.TXT", "\n".join([*above, *above]))
+    out = read_reports(spark, path).select("VMID", "Product Id", "Merchant Name", "CPD", "System Date")
+    wanted = [("first", "late", "last  one", "20240518", "20240517")]
+    wanted += [(f"v{k}", "p", None, "20240102", "20240517") for k in range(150)]
+    assert sorted(map(tuple, out.collect())) == sorted(wanted)
+
+
+def test_small_arrow_batches_split_no_record(spark, tmp_path):
+    path = put(tmp_path, "20240519_REPORT.TXT", SAMPLE * 3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    wanted = sorted(map(str, read_reports(spark, path).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        assert sorted(map(str, read_reports(spark, path).collect())) == wanted and len(wanted) == 3
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_only_records_across_blocks_are_exchanged(spark, tmp_path):
+    """Lines are read once and never laid out anew; records are exchanged once, by their opener."""
+    path = put(tmp_path, "20251103_R.TXT", SAMPLE)
+    lines = split_lines(read_lines(spark, path), F.lit("x"))
+    assert "Exchange" not in plan_of(scan_records(lines)) and plan_of(scan_records(lines)).count("MapInArrow") == 1
+    plan = plan_of(read_reports(spark, path))
+    assert "FileScan text" not in plan
+    assert plan.count("Exchange hashpartitioning(_file") == 1 and "_opener" in plan
