@@ -183,6 +183,75 @@ def reconcile_amounts(
     return found[0].unionByName(found[1])
 
 
+#: Columns of ``key_book`` beside the keys.
+BOOK_KINDS = {"TRANSACTION": "txn", "REFUND": "ref"}
+
+
+def key_book(
+    left: DataFrame, right: DataFrame, keys: list[str], left_amount: str, right_amount: str,
+    decimals: int = 2,
+) -> DataFrame:
+    """One row per key with all that two-sided reports ask of it.
+
+    Rows of either side (``_ln``, ``_rn``), and for transactions (``_txn``) and refunds (``_ref``)
+    apart the rows, the sums and the unreadable amounts of each side. Both sides are stacked and
+    summed in one shuffle with map-side sums, so no pairs arise.
+    """
+    _check_keys(keys, left=left, right=right)
+    money = f"decimal(38,{decimals})"
+
+    def side(df: DataFrame, amount: str, letter: str) -> DataFrame:
+        value, refund = F.col(amount).try_cast(money), is_refund(amount, decimals)
+        unreadable = (F.col(amount).isNotNull() & value.isNull()).cast("long")
+        return df.select(
+            *keys, F.lit(letter).alias("_side"), F.when(refund, "ref").otherwise("txn").alias("_kind"),
+            value.alias("_value"), unreadable.alias("_bad"),
+        )
+
+    rows = side(left, left_amount, "l").unionByName(side(right, right_amount, "r"))
+    sums = []
+    for kind in BOOK_KINDS.values():
+        for letter in "lr":
+            own = (F.col("_side") == letter) & (F.col("_kind") == kind)
+            sums += [
+                F.sum(own.cast("long")).alias(f"_{kind}_{letter}n"),
+                F.sum(F.when(own, F.col("_value"))).alias(f"_{kind}_{letter}a"),
+                F.sum(F.when(own, F.col("_bad"))).alias(f"_{kind}_{letter}bad"),
+            ]
+    counts = [F.sum((F.col("_side") == s).cast("long")).alias(f"_{s}n") for s in "lr"]
+    return rows.groupBy(*keys).agg(*counts, *sums)
+
+
+def book_differences(book: DataFrame, keys: list[str], kind: str, decimals: int = 2) -> DataFrame:
+    """What ``reconcile_amounts`` says of one kind, from a ``key_book``."""
+    at = BOOK_KINDS[kind]
+    money = f"decimal(38,{decimals})"
+    zero = F.lit(0).cast(money)
+    ours, theirs = F.col(f"_{at}_la"), F.col(f"_{at}_ra")
+    unreadable = F.coalesce(f"_{at}_lbad", F.lit(0)) + F.coalesce(f"_{at}_rbad", F.lit(0))
+    status = (
+        F.when(unreadable > 0, UNREADABLE)
+        .when(F.col(f"_{at}_rn") == 0, ONLY_LEFT)
+        .when(F.col(f"_{at}_ln") == 0, ONLY_RIGHT)
+        .when(ours.eqNullSafe(theirs), MATCH)
+        .otherwise(AMOUNT_DIFF)
+    )
+    met = book.filter((F.col(f"_{at}_ln") > 0) | (F.col(f"_{at}_rn") > 0))
+    return met.select(
+        *keys, ours.alias("left_amount"), theirs.alias("right_amount"),
+        (F.coalesce(ours, zero) - F.coalesce(theirs, zero)).alias("difference"),
+        status.alias("status"), unreadable.alias("unreadable"),
+    )
+
+
+def rows_of_keys(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is in ``found``, which has each key once; NULL equals NULL. The comparison lays
+    ``found`` out anew, so adaptive execution can split a hot key of ``rows``."""
+    known = found.select(*[F.col(n).alias(f"_key_{i}") for i, n in enumerate(keys)])
+    same = [rows[n].eqNullSafe(known[f"_key_{i}"]) for i, n in enumerate(keys)]
+    return rows.join(known, reduce(and_, same), "left_semi")
+
+
 def invalid_accounts(
     rows: DataFrame, accounts: DataFrame, key: str, name: str, account_name: str
 ) -> DataFrame:

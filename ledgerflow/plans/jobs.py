@@ -11,13 +11,15 @@ from ledgerflow.functions.masking import mask_by_key
 from ledgerflow.operators.aggregates import load_audit, union_sources
 from ledgerflow.operators.clean import cast_columns, where_present
 from ledgerflow.operators.conform import CatalogColumn, conform
-from ledgerflow.operators.joins import reconcile_amounts, missing_from, new_rows
+from ledgerflow.operators.joins import book_differences, key_book, new_rows, rows_of_keys
 from ledgerflow.operators.masking import safe_projection, tokenise
-from ledgerflow.operators.reports import duplicate_report, settlement_summary
+from ledgerflow.operators.reports import settlement_summary
 from ledgerflow.operators.settlement import read_reports, to_report_table
 from ledgerflow.operators.windows import latest_per_key
+from ledgerflow.session import stage
 from ledgerflow.sinks.export import export_datasets
 from ledgerflow.sinks.files import write_csv, write_lake, write_parquet
+from ledgerflow.sinks.snapshots import publish, read_snapshot
 from ledgerflow.sources.delimited import import_delimited
 from ledgerflow.sources.files import path_exists, read_csv, read_parquet
 from ledgerflow.sources.jdbc import target_keys
@@ -113,6 +115,26 @@ def checked_load(
     return load_audit(read_back(), table)
 
 
+def safe_load(
+    spark: SparkSession,
+    input_path: str,
+    read: Callable[[str], DataFrame],
+    base: str,
+    table: str,
+    check: Callable[[DataFrame], bool] | None = None,
+) -> DataFrame:
+    """Load with checks, the other way round: write aside and count first, switch over last.
+
+    Gives the audit row of what readers see from now on. Where the input is absent, the write fails,
+    or the rows are not those that were sent or do not pass ``check``, it raises, and readers go on
+    with the version before.
+    """
+    if not path_exists(spark, input_path):
+        raise FileNotFoundError(input_path)
+    done = publish(read(input_path), base, check=check)
+    return load_audit(read_snapshot(spark, base, done.version), table, done.rows)
+
+
 def import_reports(
     spark: SparkSession,
     path: str | list[str],
@@ -164,16 +186,22 @@ def report_pack(
     base: str,
     template: ExportTemplate,
 ) -> DataFrame:
-    """Settlement, duplicate and reconciliation sheets in one export; gives the manifest."""
+    """Settlement, duplicate and reconciliation sheets in one export; gives the manifest.
+
+    Each side is read once and staged, so a database or a text import behind it is not asked again.
+    One aggregate per key, staged as well, feeds the duplicate and both difference sheets; rows of
+    keys that one side alone has are joined back.
+    """
+    imported, synced = stage(imported, "imported"), stage(synced, "synced")
+    book = stage(key_book(imported, synced, keys, amount, amount), "key-book")
+    duplicates = book.filter(F.col("_ln") > 1).select(*keys, F.col("_ln").alias("CN"))
     sheets = {
         "SUMMARY": settlement_summary(imported, group_by, F.col(amount), fee),
-        "DUPLICATE": duplicate_report(imported, keys),
-        "IMP_VS_SYNC": missing_from(imported, synced, keys),
-        "SYNC_VS_IMP": missing_from(synced, imported, keys),
+        "DUPLICATE": duplicates,
+        "IMP_VS_SYNC": rows_of_keys(imported, book.filter("_rn = 0"), keys),
+        "SYNC_VS_IMP": rows_of_keys(synced, book.filter("_ln = 0"), keys),
     }
-    differing = reconcile_amounts(imported, synced, keys, amount, amount).filter(
-        F.col("status").isin("AMOUNT_DIFF", "UNREADABLE")
-    )
     for sheet, kind in (("AMOUNT_DIFF", "TRANSACTION"), ("REFUND_DIFF", "REFUND")):
-        sheets[sheet] = differing.filter(F.col("kind") == kind).drop("kind")
+        differing = book_differences(book, keys, kind)
+        sheets[sheet] = differing.filter(F.col("status").isin("AMOUNT_DIFF", "UNREADABLE"))
     return export_datasets(list(sheets.values()), list(sheets), base, template)

@@ -431,6 +431,21 @@ def stream_corrupt(spark, sf):
     return bad
 
 
+@query("""SELECT event_id, user_id, event_type, value, NULL::VARCHAR AS raw_json FROM events WHERE event_type <> 'error'
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'not json ' || event_id FROM events WHERE event_type = 'error'""")
+def stream_split(spark, sf):
+    """Readable and corrupt rows of one stream, kept apart in one write per batch; run again at the
+    end, which adds nothing."""
+    base = scratch_path(spark, "stream")
+    write_messages(spark, sf, f"{base}/in")
+    schema = "event_id bigint, user_id bigint, event_type string, value double"
+    for _ in range(2):
+        raw = ingest.raw_text(ingest.read_messages(spark, "parquet", f"{base}/in", maxFilesPerTrigger="1"))
+        ingest.run_to_end(ingest.split_stream(raw, schema, f"{base}/lake", f"{base}/checkpoint", available_now=True))
+    good, bad = ingest.read_split(spark, f"{base}/lake", schema)
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @query("SELECT event_id::VARCHAR AS key, event_type = 'error' AS broken FROM events")
 def stream_key_value(spark, sf):
     base = scratch_path(spark, "stream")

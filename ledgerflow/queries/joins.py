@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import joins, reports
+from ledgerflow.operators.known_keys import KnownKeys, new_by_known_keys, remember_keys
 from ledgerflow.queries.registry import query
+from ledgerflow.session import scratch_path
 from ledgerflow.sources.files import read_table as table
 from ledgerflow.sources.jdbc import target_keys
 from ledgerflow.templates import INCREMENTAL, LoadSettings
@@ -45,14 +47,17 @@ def star_key_lookup(spark, sf):
     return keyed.select("tx_id", "account_id", "amount", "tx_time")
 
 
-@query("""WITH i AS (SELECT o_orderkey, nullif(o_custkey, 5) AS o_custkey,
+NEW_ROWS_SQL = """WITH i AS (SELECT o_orderkey, nullif(o_custkey, 5) AS o_custkey,
            nullif(o_orderpriority, '5-LOW') AS o_orderpriority FROM orders),
      t AS (SELECT nullif(o_custkey, 5) AS o_custkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority
            FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01')
 SELECT o_orderkey AS "O_ORDERKEY", o_custkey AS "O_CUSTKEY", o_orderpriority AS "O_ORDERPRIORITY"
 FROM i WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_custkey IS NOT DISTINCT FROM i.o_custkey
-                         AND t.o_orderpriority IS NOT DISTINCT FROM i.o_orderpriority)""")
-def incremental_new_rows(spark, sf):
+                         AND t.o_orderpriority IS NOT DISTINCT FROM i.o_orderpriority)"""
+
+
+def _orders_and_keys(spark, sf):
+    """Orders to load, and the target that holds the later ones, with missing key parts."""
     orders = table(spark, sf, "orders").select(
         "o_orderkey",
         F.nullif("o_custkey", F.lit(5)).alias("o_custkey"),
@@ -63,9 +68,23 @@ def incremental_new_rows(spark, sf):
         INCREMENTAL, "orders", ("o_custkey", "o_orderpriority"),
         "o_orderdate >= TIMESTAMP_NTZ '2000-01-01 00:00:00'",
     )
-    return joins.new_rows(
-        orders.drop("o_orderdate"), target_keys(orders, load), list(load.key_columns)
-    )
+    return orders.drop("o_orderdate"), target_keys(orders, load), list(load.key_columns)
+
+
+@query(NEW_ROWS_SQL)
+def incremental_new_rows(spark, sf):
+    return joins.new_rows(*_orders_and_keys(spark, sf))
+
+
+@query(NEW_ROWS_SQL)
+def incremental_known_keys(spark, sf):
+    """The same load against keys kept in buckets beside the target, added in two batches."""
+    incoming, target, keys = _orders_and_keys(spark, sf)
+    known = KnownKeys(scratch_path(spark, "known-keys"), tuple(keys), buckets=8)
+    early = F.coalesce(F.col("o_custkey") % 2 == 0, F.lit(True))
+    for part in (target.filter(early), target.filter(~early)):
+        remember_keys(part, known)
+    return new_by_known_keys(incoming, known)
 
 
 @query("""SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")

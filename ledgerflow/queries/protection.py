@@ -8,6 +8,8 @@ from ledgerflow.functions import codec, masking
 from ledgerflow.operators import joins, masking as protect
 from ledgerflow.plans.jobs import publish_safe
 from ledgerflow.queries.registry import query
+from ledgerflow.session import scratch_path
+from ledgerflow.sinks.snapshots import read_snapshot
 from ledgerflow.sources.files import read_table as table
 
 # Sample secrets for the queries below; jobs take theirs as a parameter.
@@ -57,6 +59,18 @@ def token_vault(spark, sf):
     )
 
 
+@query(f"SELECT DISTINCT {hmac_sql('c_name')} AS token, c_name AS value FROM customer")
+def vault_growth(spark, sf):
+    """Customer names in two batches that overlap; the vault holds each once."""
+    base = scratch_path(spark, "vault")
+    names = table(spark, sf, "customer")
+    third = F.pmod(F.xxhash64("c_name"), F.lit(3))
+    token = codec.hmac_sha256_hex("c_name", SECRET)
+    for batch in (names.filter(third < 2), names.filter(third > 0), names):
+        protect.grow_vault(batch, "c_name", token, base)
+    return read_snapshot(spark, base)
+
+
 @query(f"""SELECT o_orderkey, {hmac_sql('o_orderpriority')} AS token,
        CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS value,
        o_orderpriority <> '5-LOW' AS found FROM orders""")

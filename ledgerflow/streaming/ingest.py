@@ -53,6 +53,38 @@ def split_corrupt(decoded: DataFrame, column: str = "raw_json") -> tuple[DataFra
     return good, decoded.filter("corrupt").select(column)
 
 
+def split_stream(
+    messages: DataFrame, schema: T.StructType | str, path: str, checkpoint: str,
+    available_now: bool = False, column: str = "raw_json",
+) -> StreamingQuery:
+    """Decode a stream of raw text and keep readable and corrupt rows apart, each row once.
+
+    A micro-batch is decoded and written in one pass, readable rows under ``corrupt=false`` without
+    the raw text, others under ``corrupt=true`` with nothing else. Its folder is named by the batch
+    id and replaced as a whole, so a batch that a restart runs again doubles neither side.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        decoded = decode_json(batch.select(column), schema, column)
+        rows = decoded.withColumn(column, F.when(F.col("corrupt"), F.col(column)))
+        rows.write.mode("overwrite").partitionBy("corrupt").parquet(f"{path}/batch={batch_id}")
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_split(
+    spark: SparkSession, path: str, schema: T.StructType | str, column: str = "raw_json"
+) -> tuple[DataFrame, DataFrame]:
+    """Readable rows, and the raw text of corrupt ones, of all batches so far."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = [T.StructField(column, T.StringType()), *kind.fields]
+    ends = [T.StructField("batch", T.LongType()), T.StructField("corrupt", T.BooleanType())]
+    rows = spark.read.schema(T.StructType([*fields, *ends])).parquet(path)
+    good = rows.filter(~F.col("corrupt")).select(*[f.name for f in kind.fields])
+    return good, rows.filter("corrupt").select(column)
+
+
 def append_stream(
     stream: DataFrame,
     path: str,

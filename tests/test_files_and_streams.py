@@ -233,3 +233,30 @@ def test_sums_of_money_are_exact(spark):
     assert (row.FEE_AMOUNT, row.FEE_VAT_AMT, row.FEE_TOTAL_AMT) == (
         Decimal("1.0000"), Decimal("0.1000"), Decimal("1.1000"),
     )
+
+
+def test_a_restarted_split_stream_doubles_neither_side(spark, tmp_path):
+    """Killed after its second batch was written and before that was noted; then run again."""
+    schema = "n int"
+    texts = [f'{{"n": {k}}}' if k % 3 else f"bad {k}" for k in range(30)]
+    for k in range(0, 30, 10):
+        rows = spark.createDataFrame([(None, t.encode()) for t in texts[k : k + 10]], "key binary, value binary")
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def start():
+        messages = ingest.read_messages(spark, "parquet", str(tmp_path / "in"), maxFilesPerTrigger="1")
+        return ingest.split_stream(ingest.raw_text(messages), schema, out, checkpoint, available_now=True)
+
+    ingest.run_to_end(start())
+    wanted = sorted(str(r) for side in ingest.read_split(spark, out, schema) for r in side.collect())
+    good, bad = ingest.read_split(spark, out, schema)
+    assert sorted(r.n for r in good.collect()) == [k for k in range(30) if k % 3]
+    assert sorted(r.raw_json for r in bad.collect()) == sorted(t for t in texts if t.startswith("bad"))
+    # Forget that the last two batches were committed, as a kill between write and commit leaves it.
+    for batch in (1, 2):
+        for name in (f"{batch}", f".{batch}.crc"):
+            (tmp_path / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+    ingest.run_to_end(start())
+    again = sorted(str(r) for side in ingest.read_split(spark, out, schema) for r in side.collect())
+    assert again == wanted

@@ -8,9 +8,11 @@ from conftest import plan_of, run_plan
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import aggregates as agg, joins, reports, windows
+from ledgerflow.operators.known_keys import KnownKeys, new_by_known_keys, remember_keys
+from ledgerflow.plans.jobs import report_pack
 from ledgerflow.session import release_staged, stage, staging
 from ledgerflow.sources.jdbc import target_keys
-from ledgerflow.templates import FULL, INCREMENTAL, LoadSettings
+from ledgerflow.templates import FULL, INCREMENTAL, ExportTemplate, LoadSettings
 
 
 def test_new_rows_drops_known_keys(spark):
@@ -260,3 +262,84 @@ def test_accounts_with_another_name_or_none(spark):
     core = spark.createDataFrame([(1, "Ann"), (2, "Rob"), (4, "Di")], "id int, name string")
     found = joins.invalid_accounts(rows, core, "id", "told", "name").collect()
     assert sorted((r.id, r.core_name) for r in found) == [(2, "Rob"), (3, None), (4, "Di")]
+
+
+def test_known_keys_are_the_target_and_stay_where_they_are(spark, tmp_path):
+    draw = random.Random(8)
+    keys = [None, "1", "2", "3", "x", ""]
+    left = [(draw.choice(keys), draw.choice([None, 1, 2]), i) for i in range(300)]
+    right = [(draw.choice(keys[:4]), draw.choice([None, 1])) for _ in range(60)]
+    incoming = spark.createDataFrame(left, "a string, b int, n int")
+    target = spark.createDataFrame(right, "A string, b long")
+    known = KnownKeys(str(tmp_path / "keys"), ("a", "b"), 4)
+    for part in (target.limit(30), target):
+        remember_keys(part, known)
+    out = new_by_known_keys(incoming, known)
+    wanted = joins.new_rows(incoming, target, ["a", "b"])
+    assert sorted(map(str, out.collect())) == sorted(map(str, wanted.collect()))
+    # Between the join and the scan of the known keys there is no exchange.
+    for setting in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", setting)
+        try:
+            plan = run_plan(new_by_known_keys(incoming, known))
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        final = plan.split("== Initial Plan ==")[0].splitlines()
+        at = next(k for k, line in enumerate(final) if "Bucketed: true" in line)
+        depth, above = final[at].index("FileScan"), []
+        while "Join" not in final[at]:
+            at -= 1
+            here = len(final[at]) - len(final[at].lstrip(" :+-"))
+            if here < depth:
+                depth, above = here, [*above, final[at]]
+        assert above and not any("Exchange" in line for line in above), "\n".join(final)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("known_keys")]
+
+
+def test_a_key_book_says_what_the_reports_say(spark):
+    draw = random.Random(5)
+    amounts = ["1.50", "-2.25", "3", None, "x", "-1e33", "7.005"]
+    sides = [
+        spark.createDataFrame(
+            [(draw.choice([None, "a", "b", "c", "d", "e"]), draw.randrange(3), draw.choice(amounts)) for _ in range(40)],
+            "k string, m int, v string",
+        )
+        for _ in range(2)
+    ]
+    book = joins.key_book(*sides, ["k", "m"], "v", "v")
+    told = joins.reconcile_amounts(*sides, ["k", "m"], "v", "v")
+    for kind in ("TRANSACTION", "REFUND"):
+        found = joins.book_differences(book, ["k", "m"], kind)
+        wanted = told.filter(F.col("kind") == kind).select(*found.columns)
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+    assert plan_of(book).count("Exchange") == 1
+    for rows, other, missing in ((*sides, "_rn = 0"), (*sides[::-1], "_ln = 0")):
+        found = joins.rows_of_keys(rows, book.filter(missing), ["k", "m"])
+        wanted = joins.missing_from(rows, other, ["k", "m"])
+        assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_wide_refunds_are_refunds(spark):
+    rows = spark.createDataFrame([("a", "-1e33"), ("b", "5"), ("c", None), ("d", "x")], "k string, v string")
+    refunds = joins.split_refunds(rows, "v")[1]
+    assert [r.k for r in refunds.collect()] == ["a"]
+
+
+def test_a_report_pack_reads_each_side_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    shape = "k string, g string, v string"
+    ours = spark.createDataFrame([("a", "x", "1"), ("a", "x", "2"), ("b", "y", "-3"), ("c", "y", "4")], shape)
+    theirs = spark.createDataFrame([("a", "x", "1"), ("b", "y", "-5"), ("d", "z", "9"), ("d", "z", "9")], shape)
+    sides = [side.mapInArrow(seen, shape) for side in (ours, theirs)]
+    fee = F.lit("0.5").cast("decimal(4,2)")
+    manifest = report_pack(*sides, ["k"], ["g"], "v", fee, str(tmp_path / "pack"), ExportTemplate("json"))
+    assert reads.value == 8
+    assert {r.dataset: r.row_count for r in manifest.collect()} == {
+        "SUMMARY": 2, "DUPLICATE": 1, "IMP_VS_SYNC": 1, "SYNC_VS_IMP": 2, "AMOUNT_DIFF": 1, "REFUND_DIFF": 1,
+    }
