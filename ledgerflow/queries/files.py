@@ -226,6 +226,34 @@ def import_encoding(spark, sf):
     return import_delimited(spark, [f"{path}/latin", f"{path}/utf8"], template)
 
 
+#: Letters of windows-1252 where Latin-1 has control characters, and those control characters.
+PAGE_LETTERS, PAGE_BYTES = "€šŽ“”", "\x80\x9a\x8e\x93\x94"
+
+
+@query("""SELECT cast(p_partkey AS VARCHAR) AS "NO", CASE p_partkey % 3
+  WHEN 0 THEN p_name || ' € šŽ “' || p_brand || '” é' WHEN 1 THEN p_name || ' € Đ “' || p_brand || '” 漢'
+  ELSE p_name || ' ' || chr(129) || p_brand || ' é' END AS "TEXT" FROM part""")
+def import_code_pages(spark, sf):
+    """Three encodings in one import that is set to windows-1252: its own, UTF-8, and Latin-1."""
+    path = scratch_path(spark, "import")
+    name, brand, kind = F.col("p_name"), F.col("p_brand"), F.col("p_partkey") % 3
+    rows = table(spark, sf, "part")
+    # Written as Latin-1, whose control characters are the code page's letters.
+    page = F.translate(F.concat(name, F.lit(" € šŽ “"), brand, F.lit("” é")), PAGE_LETTERS, PAGE_BYTES)
+    texts = [
+        (page, "ISO-8859-1"),
+        (F.concat(name, F.lit(" € Đ “"), brand, F.lit("” 漢")), "UTF-8"),
+        (F.concat(name, F.lit(" \x81"), brand, F.lit(" é")), "ISO-8859-1"),
+    ]
+    for k, (text, encoding) in enumerate(texts):
+        chosen = rows.filter(kind == k).select("p_partkey", text.alias("text"))
+        write_csv(chosen, f"{path}/{k}", header=False, sep="|", encoding=encoding)
+    template = ImportTemplate(
+        table_name="parts", header=("no", "text"), separator="|", start_row=1, encoding="windows-1252"
+    )
+    return import_delimited(spark, [f"{path}/{k}" for k in range(3)], template)
+
+
 @query("""SELECT cast(c_custkey AS VARCHAR) AS "FIELD_01_15", substr(c_name, 1, 12) AS "FIELD_02_12",
        c_mktsegment AS "FIELD_01_20" FROM customer""")
 def staging_slots(spark, sf):

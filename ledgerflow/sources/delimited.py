@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import codecs
 import csv
 import functools
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,35 +39,78 @@ MISSING_TEXTS = (
 FILLED = "_filled"
 
 
+@dataclass(frozen=True)
+class CodePage:
+    """A single-byte encoding, as it differs from Latin-1: the letters ``read`` there are ``meant``
+    otherwise, and those in ``without`` stand for bytes that it has no letter for."""
+
+    read: str
+    meant: str
+    without: str
+
+    def decode(self, latin: Column) -> Column:
+        return F.translate(latin, self.read, self.meant) if self.read else latin
+
+
+@lru_cache(maxsize=32)
+def code_page(encoding: str) -> CodePage:
+    """From the codec's own table; encodings of several bytes a letter, or with another ASCII half,
+    are refused."""
+    try:
+        codec = codecs.lookup(encoding)
+        letters = [codec.decode(bytes([k]), "ignore")[0] for k in range(256)]
+        # No byte begins a letter of two.
+        single = all(
+            codec.decode(bytes([a, b]), "ignore")[0] == letters[a] + letters[b]
+            for a in range(128, 256) for b in range(256)
+        )
+    except (LookupError, UnicodeError, ValueError, TypeError):
+        letters, single = [], False
+    if not single or letters[:128] != [chr(k) for k in range(128)]:
+        raise ValueError(f"encoding {encoding} is not supported; convert the files to UTF-8")
+    moved = [k for k in range(128, 256) if letters[k] and letters[k] != chr(k)]
+    return CodePage(
+        "".join(map(chr, moved)), "".join(letters[k] for k in moved),
+        "".join(chr(k) for k in range(128, 256) if not letters[k]),
+    )
+
+
 def known_encoding(encoding: str | None) -> str | None:
-    """The encoding to decode with, None for UTF-8 or none; others are refused at plan time."""
+    """The encoding to decode with, None for UTF-8 or none; unknown ones are refused at plan time."""
     if not encoding or encoding.upper() in UTF8_NAMES:
         return None
     if encoding.upper() in LATIN_NAMES:
         return LATIN
-    raise ValueError(f"encoding {encoding} is not supported; convert the files to UTF-8 or {LATIN}")
+    code_page(encoding)
+    return codecs.lookup(encoding).name
 
 
 def decode_lines(rows: DataFrame, lines: DataFrame, encoding: str | None) -> DataFrame:
-    """Decode per file: the configured encoding, else UTF-8 when the whole file is, else Latin-1.
+    """Decode per file: the configured encoding if it has a letter for every byte of the file, else
+    UTF-8 when the whole file is that, else Latin-1.
 
-    Latin-1 takes any byte, so no further encoding is ever reached. ``lines`` holds the whole files
-    that ``rows`` come from; they are checked in one pass, and the few files that are not UTF-8 are
-    staged, so that the join back is planned by their real size.
+    Latin-1 takes any byte, so no further encoding is ever reached, and a code page with a letter for
+    every byte needs no look at the file. ``lines`` holds the whole files that ``rows`` come from;
+    they are checked in one pass, and the few files that go another way are staged, so that the join
+    back is planned by their real size.
     """
     named = known_encoding(encoding)
-    if named:
-        return rows.withColumn(VALUE, F.decode(F.col(VALUE).cast("binary"), named))
-    other = (
-        lines.groupBy(FILE)
-        .agg(F.bool_and(F.is_valid_utf8(VALUE)).alias("_utf8"))
-        .filter(~F.col("_utf8"))
-        .select(FILE, F.lit(True).alias("_latin"))
-    )
     latin = F.decode(F.col(VALUE).cast("binary"), LATIN)
-    decoded = F.when(F.col("_latin"), latin).otherwise(F.col(VALUE))
+    page = None if named is None else CodePage("", "", "") if named == LATIN else code_page(named)
+    if page is not None and not page.without:
+        return rows.withColumn(VALUE, page.decode(latin))
+    utf8 = F.bool_and(F.is_valid_utf8(VALUE)).alias("_utf8")
+    if page is None:
+        fits, first = F.col("_utf8"), F.col(VALUE)
+        verdict = lines.groupBy(FILE).agg(utf8)
+    else:
+        fits, first = F.col("_page"), page.decode(latin)
+        whole = F.bool_and(~latin.rlike(f"[{page.without}]")).alias("_page")
+        verdict = lines.groupBy(FILE).agg(utf8, whole)
+    other = verdict.filter(~fits).select(FILE, F.col("_utf8").alias("_as_utf8"))
     joined = rows.join(stage(other, "encodings"), FILE, "left")
-    return joined.withColumn(VALUE, decoded).drop("_latin")
+    decoded = F.when(F.col("_as_utf8"), F.col(VALUE)).when(~F.col("_as_utf8"), latin).otherwise(first)
+    return joined.withColumn(VALUE, decoded).drop("_as_utf8")
 
 
 def _is_filled(template: ImportTemplate) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import math
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +84,84 @@ def split_bounds(spark: SparkSession, database: Database, table: str, column: st
     return tuple(read_jdbc(spark, database, query=query).head())
 
 
+# A column's hash, from 0 up to the number of parts, by kind of database.
+HASH_FORMS = {
+    "oracle": "ORA_HASH({column}, {last})",
+    "postgresql": "MOD(ABS(CAST(HASHTEXT(CAST({column} AS TEXT)) AS BIGINT)), {parts})",
+}
+
+
+def hash_predicates(database: Database, column: str, splits: int) -> list[str]:
+    """One predicate per part, by the database's hash of a column of any type.
+
+    Every row meets one of them, rows without a value the first. The parts are even where values are
+    many, and each reads the whole table's index or rows in the database, so ranges are the better
+    choice where a column has an index.
+    """
+    if splits < 2:
+        raise ValueError("a parallel read needs two splits or more")
+    part = HASH_FORMS[database.kind].format(column=column, last=splits - 1, parts=splits)
+    found = [f"{column} IS NOT NULL AND {part} = {k}" for k in range(splits)]
+    return [f"{column} IS NULL OR ({found[0]})", *found[1:]]
+
+
+def quantile_query(table: str, column: str, splits: int) -> str:
+    """The lowest value of each of ``splits`` parts of equal size, computed by the database."""
+    return (
+        f"SELECT MIN(value) AS low FROM (SELECT {column} AS value, NTILE({splits}) OVER "
+        f"(ORDER BY {column}) AS tile FROM {table} WHERE {column} IS NOT NULL) ranked "
+        f"GROUP BY tile ORDER BY low"
+    )
+
+
+def _literal(value) -> str:
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal, str, dt.date)):
+        raise TypeError(f"no literal for {type(value).__name__}")
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, float):
+        if not math.isfinite(value):
+            raise ValueError("no literal for a value that is not finite")
+        return repr(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + value.replace("'", "''") + "'"
+
+
+def range_predicates(column: str, lows: list) -> list[str]:
+    """One predicate per range between neighbouring values of ``lows``, which are sorted as the
+    database sorts them. Every row meets one of them: what lies below the first low, and rows without
+    a value, the first. A value that is a low more than once, a very common one, begins one range."""
+    bounds = list(dict.fromkeys(_literal(low) for low in lows))[1:]
+    if not bounds:
+        return []
+    found = [f"{column} IS NULL OR {column} < {bounds[0]}"]
+    found += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(bounds, bounds[1:])]
+    return [*found, f"{column} >= {bounds[-1]}"]
+
+
+def read_split(
+    spark: SparkSession, database: Database, table: str, predicates: list[str],
+    fetch_size: int = 10_000,
+) -> DataFrame:
+    """A table in one task per predicate; without any, in one task."""
+    properties = {**database.properties, "fetchsize": str(fetch_size)}
+    if not predicates:
+        return spark.read.jdbc(database.url, table, properties=properties)
+    return spark.read.jdbc(database.url, table, predicates=predicates, properties=properties)
+
+
+def read_by_quantiles(
+    spark: SparkSession, database: Database, table: str, column: str, splits: int
+) -> DataFrame:
+    """A table in ranges of equal size of a column of any ordered type; the bounds are ``splits``
+    values at most."""
+    lows = read_jdbc(spark, database, query=quantile_query(table, column, splits)).collect()
+    return read_split(spark, database, table, range_predicates(column, [row[0] for row in lows]))
+
+
 def target_keys(target: DataFrame, load: LoadSettings) -> DataFrame | None:
     """Key columns the target already holds, or None unless the load is incremental.
 

@@ -60,6 +60,41 @@ def test_writes_keep_the_stage_before_them_wide(spark):
     assert jdbc_out.write_options(db, "t", connections=7)["numPartitions"] == "7"
 
 
+@pytest.mark.parametrize("kind, values", [
+    ("int", [3, 1, 1, 1, 1, 1, 2, 9, None]),
+    ("string", ["b", "it's", "a", None, "", "é", "a", "a"]),
+    ("date", [dt.date(2024, 1, 1), dt.date(2023, 5, 6), None, dt.date(2024, 1, 1)]),
+    ("timestamp_ntz", [dt.datetime(2024, 1, 1, 12), dt.datetime(2023, 5, 6, 1, 2, 3, 400), None]),
+    ("decimal(9,2)", [Decimal("1.50"), Decimal("-7.25"), Decimal("0.00")]),
+    ("string", [None, None]),
+])
+def test_every_row_meets_one_range(spark, kind, values):
+    """Bounds as the database would compute them; a common value begins one range only."""
+    rows = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+    rows.createOrReplaceTempView("source_of_ranges")
+    lows = [r[0] for r in spark.sql(jdbc.quantile_query("source_of_ranges", "v", 4)).collect()]
+    predicates = jdbc.range_predicates("v", lows)
+    assert len(predicates) <= 4
+    met = [F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates]
+    if met:
+        assert {r[0] for r in rows.select(sum(met[1:], met[0])).collect()} == {1}
+    else:
+        assert len({v for v in values if v is not None}) <= 1
+
+
+def test_hash_predicates():
+    db = jdbc.Database("oracle", "h", 1521, "svc", "u")
+    assert jdbc.hash_predicates(db, "ACC", 2) == [
+        "ACC IS NULL OR (ACC IS NOT NULL AND ORA_HASH(ACC, 1) = 0)", "ACC IS NOT NULL AND ORA_HASH(ACC, 1) = 1",
+    ]
+    other = jdbc.Database("postgresql", "h", 5432, "svc", "u")
+    assert "HASHTEXT" in jdbc.hash_predicates(other, "acc", 3)[2] and len(jdbc.hash_predicates(other, "acc", 3)) == 3
+    with pytest.raises(ValueError, match="two splits"):
+        jdbc.hash_predicates(db, "ACC", 1)
+    with pytest.raises(TypeError, match="bytes"):
+        jdbc.range_predicates("v", [b"a", b"b"])
+
+
 def test_jdbc_options():
     db = jdbc.Database("postgresql", "db.example", 5432, "dwh", "loader", "secret")
     assert db.url == "jdbc:postgresql://db.example:5432/dwh" and "secret" not in repr(db)

@@ -146,11 +146,34 @@ def test_a_line_break_inside_quotes_stops_the_import(spark, tmp_path):
 
 def test_unknown_encodings_are_refused_before_the_job(spark, tmp_path):
     path = write(tmp_path / "in", "a", ["h", "é"], encoding="latin-1")
-    with pytest.raises(ValueError, match="windows-1252"):
-        import_delimited(spark, path, template(header=("a",), encoding="windows-1252"))
+    for name in ("utf-16", "shift_jis", "cp037", "gb18030", "no such", "utf-7", "hz", "rot13"):
+        with pytest.raises(ValueError, match=name):
+            import_delimited(spark, path, template(header=("a",), encoding=name))
     assert rows(import_delimited(spark, path, template(header=("a",), encoding="latin1"))) == [("é",)]
 
 
+@pytest.mark.parametrize("name", ["windows-1252", "cp1251", "iso8859-15", "koi8-r", "cp437", "windows-1258"])
+def test_code_pages_have_the_letters_of_their_codec(spark, tmp_path, name):
+    known = [bytes([k]) for k in range(33, 256) if k not in b",\"" and bytes([k]).decode(name, "ignore")]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a").write_bytes(b"h\n" + b"\n".join(b"x" + k for k in known) + b"\n")
+    out = import_delimited(spark, str(folder), template(header=("v",), encoding=name))
+    assert sorted(r.V for r in out.collect()) == sorted("x" + k.decode(name) for k in known)
+
+
+def test_a_file_that_a_code_page_does_not_fit_goes_on_to_the_next(spark, tmp_path):
+    folder = tmp_path / "in"
+    write(folder, "page", ["h", "5 € “x”"], "windows-1252")
+    write(folder, "utf8", ["h", "plain", "Đường"])
+    (folder / "neither").write_bytes(b"h\nplain two\n\x81\xe9\n")
+    out = import_delimited(spark, str(folder), template(header=("v",), encoding="cp1252"))
+    assert rows(out) == sorted([("5 € “x”",), ("plain",), ("Đường",), ("plain two",), ("\x81é",)], key=str)
+    whole = import_delimited(spark, str(folder / "page"), template(header=("v",), encoding="cp1251"))
+    assert plan_of(import_delimited(spark, str(folder / "page"), template(header=("v",), encoding="iso8859-5"))).count("FileScan text") == 1
+    assert whole.count() == 1
+
+
 def test_texts_like_na_may_be_values(spark, tmp_path):
     path = write(tmp_path / "in", "a", ["h,i", "NA,", "None,x"])
     kept = import_delimited(spark, path, template(header=("a", "b"), missing_texts=False))
