@@ -1,11 +1,13 @@
 """Documents packed into sequences of a fixed number of tokens, by multiway differencing.
 
 Whole windows are cut off the front of each document; what is left, at most a window less one token,
-is cut into chunks. Chunks are gathered into groups of bounded size inside the task that tokenises
-them, and each group is packed by Karmarkar-Karp differencing: every chunk starts as a partial
-partition of its own, and the two partial partitions of the largest imbalance are merged with
-opposing order, largest load against smallest, until one is left. Its loads are near equal. If one
-exceeds the window, the group is packed again into one window more.
+stays whole where it can. Rests are gathered into groups of bounded size inside the task that
+tokenises them, and each group is packed by Karmarkar-Karp differencing: every rest starts as a
+partial partition of its own, and the two partial partitions of the largest imbalance are merged with
+opposing order, largest load against smallest, until one is left. Its loads are near equal. Where one
+exceeds the window, the group is packed again into one window more, as far as the padding allows;
+then what exceeds is cut off the largest rest of each window that is too full, and packed with the
+others, documents of many windows being cut before others.
 """
 
 from __future__ import annotations
@@ -18,14 +20,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.llm.common import ship, text_of
+from ledgerflow.llm.common import batch_parts, ship, text_of
 from ledgerflow.llm.token_ids import unit_encoder
 
 WINDOW = 1024
-#: The part of a document that does not fill a window is cut into chunks of at most this many.
-CHUNK = 128
-#: Windows of a group; its chunks are held in memory and differenced together.
-GROUP_WINDOWS = 128
+#: Windows of a group; its rests are held in memory and differenced together.
+GROUP_WINDOWS = 64
+#: Windows that a group may take beyond those its tokens would fill, as a share, before rests are cut.
+SPARE = 0.03
+#: Rounds of cuts before the group takes a window more all the same.
+CUT_ROUNDS = 16
 
 
 def differencing(sizes: list[int], ways: int) -> list[list[int]]:
@@ -54,14 +58,39 @@ def differencing(sizes: list[int], ways: int) -> list[list[int]]:
     return [members for _, members in heap[0][2]] if heap else []
 
 
-def pack_group(sizes: list[int], window: int) -> list[list[int]]:
-    """Near-equal windows, as few as differencing can fill without exceeding ``window``."""
-    ways = max(1, -(-sum(sizes) // window))
+def pack_group(
+    sizes: list[int], window: int, spare: float = SPARE, cut_first: list[bool] | None = None
+) -> list[list[tuple[int, int, int]]]:
+    """Windows of pieces (place in ``sizes``, start, length), each item in as few pieces as it can.
+
+    No item is longer than a window. The number of windows rises while one is too full, up to
+    ``spare`` beyond the least, and again when cuts do not help.
+    """
+    total = sum(sizes)
+    pieces = [(k, 0, size) for k, size in enumerate(sizes)]
+    ways = max(1, -(-total // window))
+    most, rounds = max(ways, int(total / window * (1 + spare))), 0
+
+    def gladly(k: int) -> tuple[bool, int]:
+        return bool(cut_first and cut_first[pieces[k][0]]), pieces[k][2]
+
     while True:
-        parts = differencing(sizes, ways)
-        if all(sum(sizes[k] for k in part) <= window for part in parts):
-            return parts
-        ways += 1
+        lengths = [piece[2] for piece in pieces]
+        parts = differencing(lengths, ways)
+        full = [(part, load - window) for part in parts if (load := sum(lengths[k] for k in part)) > window]
+        if not full:
+            return [[pieces[k] for k in part] for part in parts]
+        if ways < most or rounds == CUT_ROUNDS:
+            ways, rounds = ways + 1, 0
+            continue
+        for part, excess in full:
+            k = max(part, key=gladly)
+            item, start, length = pieces[k]
+            kept = max(length - excess, length // 2, 1)
+            if kept < length:
+                pieces[k] = item, start, kept
+                pieces.append((item, start + kept, length - kept))
+        rounds += 1
 
 
 PACKED = (
@@ -73,7 +102,7 @@ PIECE = pa.schema([(part.split()[0], pa.int64()) for part in PACKED.split(", ")]
 
 def pack(
     docs: DataFrame, tokenizer: str, keeps_space: bool, end_id: int, window: int = WINDOW,
-    chunk: int = CHUNK, group_windows: int = GROUP_WINDOWS, with_ids: bool = False,
+    group_windows: int = GROUP_WINDOWS, spare: float = SPARE, with_ids: bool = False,
 ) -> DataFrame:
     """One row per piece of ``docs`` (``doc_id``, ``text``), see PACKED.
 
@@ -96,12 +125,14 @@ def pack(
 
         def close() -> None:
             nonlocal held, load, sequence
-            for members in pack_group([one[2] for one in held], window):
+            long = [total >= window for *_, total in held]
+            for pieces in pack_group([len(raw) // 4 for _, _, raw, _ in held], window, spare, long):
                 offset = 0
-                for k in members:
-                    key, start, length, raw, total = held[k]
+                for k, begin, length in pieces:
+                    key, start, raw, total = held[k]
+                    raw = raw[4 * begin : 4 * (begin + length)]
                     rows.append(
-                        (key, start, length, zlib.crc32(raw), total, sequence, offset)
+                        (key, start + begin, length, zlib.crc32(raw), total, sequence, offset)
                         + (raw,) * with_ids
                     )
                     offset += length
@@ -116,31 +147,27 @@ def pack(
                 [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
             )
 
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(keys), 256):
-                for key, raw in zip(keys[at : at + 256], encoder.encode(texts[at : at + 256])):
-                    raw += end
-                    total = len(raw) // 4
-                    start = 0
-                    while total - start >= window:
-                        piece = raw[4 * start : 4 * (start + window)]
-                        rows.append(
-                            (key, start, window, zlib.crc32(piece), total, sequence, 0)
-                            + (piece,) * with_ids
-                        )
-                        sequence += 1
-                        start += window
-                    while start < total:
-                        length = min(chunk, total - start)
-                        piece = raw[4 * start : 4 * (start + length)]
-                        held.append((key, start, length, piece, total))
-                        load += length
-                        start += length
-                    if load >= group_windows * window:
-                        close()
-                if len(rows) >= 20_000:
-                    yield flush()
+        for part in (part for batch in batches for part in batch_parts(batch, 1)):
+            keys = part.column(0).to_pylist()
+            for key, raw in zip(keys, encoder.encode(part.column(1).to_pylist())):
+                raw += end
+                total = len(raw) // 4
+                start = 0
+                while total - start >= window:
+                    piece = raw[4 * start : 4 * (start + window)]
+                    rows.append(
+                        (key, start, window, zlib.crc32(piece), total, sequence, 0)
+                        + (piece,) * with_ids
+                    )
+                    sequence += 1
+                    start += window
+                if start < total:
+                    held.append((key, start, raw[4 * start :], total))
+                    load += total - start
+                if load >= group_windows * window:
+                    close()
+            if len(rows) >= 20_000:
+                yield flush()
         if held:
             close()
         if rows:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerflow.llm.common import ship, text_of
+from ledgerflow.llm.common import batch_parts, ship, text_of
 from ledgerflow.llm.token_ids import unit_encoder
 from ledgerflow.session import scratch_path, stage
 
@@ -186,15 +186,14 @@ def write_token_files(
             )
 
         system.create_dir(root, recursive=True)
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(keys), 256):
-                for key, raw in zip(keys[at : at + 256], encoder.encode(texts[at : at + 256])):
-                    names.append(key)
-                    held.append(np.frombuffer(raw + end, "<u4"))
-                    ids += len(held[-1])
-                    if ids >= FILE_IDS:
-                        yield close()
+        for part_rows in (some for batch in batches for some in batch_parts(batch, 1)):
+            keys = part_rows.column(0).to_pylist()
+            for key, raw in zip(keys, encoder.encode(part_rows.column(1).to_pylist())):
+                names.append(key)
+                held.append(np.frombuffer(raw + end, "<u4"))
+                ids += len(held[-1])
+                if ids >= FILE_IDS:
+                    yield close()
         if held:
             yield close()
 

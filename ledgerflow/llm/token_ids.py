@@ -13,7 +13,7 @@ from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
-#: Units remembered by one Python worker, about 200 bytes each; the dictionary restarts when full.
+#: Units remembered by one Python worker, about 200 bytes each.
 MAX_UNITS = 400_000
 #: Longer units are not remembered.
 LONG_UNIT = 64
@@ -32,18 +32,29 @@ def byte_letters() -> dict[int, str]:
 
 
 class Units(dict):
-    """Ids by unit, learnt when first asked for."""
+    """Ids by unit, learnt when first asked for. When ``most`` units are held, all but those asked for
+    since half of them were new are forgotten, so frequent units are not learnt again."""
 
-    def __init__(self, learn: Callable[[str], bytes]) -> None:
+    def __init__(self, learn: Callable[[str], bytes], most: int) -> None:
         super().__init__()
-        self.learn = learn
+        self.learn, self.half = learn, max(most // 2, 1)
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
-        ids = self.learn(unit)
-        if len(unit) <= LONG_UNIT:
-            self[unit] = ids
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.learn(unit)
+            if len(unit) > LONG_UNIT:
+                return ids
+        self[unit] = ids
         return ids
 
+    def turn(self) -> None:
+        """Forget what was not asked for lately; call it when no lookup is under way."""
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+
 
 class UnitEncoder:
     """``keeps_space``: a space belongs to the word after it (byte-level vocabularies); otherwise
@@ -53,31 +64,48 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The text of a special token is ordinary text.
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.keeps_space, self.max_units = keeps_space, max_units
+        self.keeps_space = keeps_space
+        # A special token's string in a text is that token, as the library has it by default; only
+        # these tokens, and what stands beside them, are not cut at blanks alone.
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        if any(" " in t or "\n" in t for t in special):
+            raise ValueError(f"tokens that hold white space are not supported: {path}")
         self.letters = byte_letters()
         self.marks = {mark: self._library(mark) for mark in MARKS}
         self.newline = self._library("\n") if keeps_space else b""
-        self.first = Units(self._learn)
-        self.after = Units(lambda unit: self._learn(f" {unit}"))
+        self.first = Units(self._learn_first, max_units // 8 if keeps_space else max_units)
+        self.after = Units(self._learn_after, max_units)
 
     def _library(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, unit: str) -> bytes:
-        core, mark = (unit[:-1], unit[-1]) if unit[-1:] in self.marks else (unit, "")
-        bare = core[1:] if core[:1] == " " else core
-        if bare.isalpha() and max(bare) < LATIN_END:
-            if not self.keeps_space:
-                core = bare.lower()
-            if self.keeps_space or core.isalpha():
-                spelt = core.encode("utf-8").decode("latin-1").translate(self.letters)
-                ids = array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
-                return ids + self.marks[mark] if mark else ids
+    def _spelt(self, spelt: str) -> bytes:
+        return array("I", [token.id for token in self.model.tokenize(spelt)]).tobytes()
+
+    def _plain(self, word: str) -> bool:
+        return word.isalpha() and (word.isascii() or max(word) < LATIN_END)
+
+    def _learn_after(self, unit: str) -> bytes:
+        """Ids of a unit with the space before it; a word is learnt once, whatever mark follows."""
+        if self._plain(unit):
+            return self._spelt("Ġ" + (unit if unit.isascii() else self._letters(unit)))
+        if unit[-1] in self.marks and self._plain(unit[:-1]):
+            return self.after[unit[:-1]] + self.marks[unit[-1]]
+        return self._library(f" {unit}")
+
+    def _learn_first(self, unit: str) -> bytes:
+        """Ids of a unit with nothing before it."""
+        word = unit if self.keeps_space else unit.lower()
+        if self._plain(word):
+            return self._spelt(word if word.isascii() else self._letters(word))
+        if unit[-1:] in self.marks and self._plain(unit[:-1]):
+            return self.first[unit[:-1]] + self.marks[unit[-1]]
         return self._library(unit)
 
+    def _letters(self, word: str) -> str:
+        return word.encode("utf-8").decode("latin-1").translate(self.letters)
+
     def _segments(self, text: str) -> list[str]:
         """Parts of a text between line feeds that have no white space beside them."""
         lines = text.split("\n")
@@ -101,9 +129,8 @@ class UnitEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        if len(self.first) + len(self.after) > self.max_units:
-            self.first.clear()
-            self.after.clear()
+        self.first.turn()
+        self.after.turn()
         if self.keeps_space:
             return [self.newline.join(map(self._segment, self._segments(t))) if t else b"" for t in texts]
         get = self.first.__getitem__
