@@ -31,7 +31,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerflow.llm.common import ship, text_of, words_of
+from ledgerflow.llm.common import batch_parts, ship, text_of, words_of
 
 WINDOW = 13
 #: Rounds: one of runs, the others of pairs.
@@ -188,38 +188,26 @@ def doc_bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed % np.uint64(buckets)).astype(np.int32)
 
 
-def _chunks(texts: list) -> Iterator[slice]:
-    first = size = 0
-    for k, text in enumerate(texts):
-        size += len(text)
-        if size >= CHUNK:
-            yield slice(first, k + 1)
-            first, size = k + 1, 0
-    if first < len(texts):
-        yield slice(first, len(texts))
-
-
 def _name_parts(buckets: int):
     """Representatives of every document, each once, dealt out by name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Names(buckets, by_doc=False)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for part in _chunks(texts):
-                known = [(k, t) for k, t in zip(ids[part], texts[part]) if k is not None]
-                symbols, owner = word_symbols([words_of(t) for _, t in known])
-                starts = window_starts(owner)
-                if not len(starts):
-                    continue
-                names, of = representatives(symbols, owner, starts), owner[starts]
-                order = np.lexsort((names, of))
-                names, of = names[order], of[order]
-                fresh = np.ones(len(names), bool)
-                fresh[1:] = (names[1:] != names[:-1]) | (of[1:] != of[:-1])
-                out.add(names[fresh], np.array([k for k, _ in known], np.int64)[of[fresh]])
-                if out.count >= HELD:
-                    yield from out.blocks()
+        for part in (part for batch in batches for part in batch_parts(batch, 1, CHUNK)):
+            part = part.filter(part.column(0).is_valid())
+            ids = part.column(0).to_numpy()
+            symbols, owner = word_symbols([words_of(t) for t in part.column(1).to_pylist()])
+            starts = window_starts(owner)
+            if not len(starts):
+                continue
+            names, of = representatives(symbols, owner, starts), owner[starts]
+            order = np.lexsort((names, of))
+            names, of = names[order], of[order]
+            fresh = np.ones(len(names), bool)
+            fresh[1:] = (names[1:] != names[:-1]) | (of[1:] != of[:-1])
+            out.add(names[fresh], ids[of[fresh]])
+            if out.count >= HELD:
+                yield from out.blocks()
         yield from out.blocks()
 
     return run
@@ -351,7 +339,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every document, with the covered words removed."""
     back = Returned()
     unpack = zstandard.ZstdDecompressor().decompress
-    for batch in batches:
+    for batch in (part for whole in batches for part in batch_parts(whole, 3, CHUNK)):
         rows, count, gone, digests, texts = [], [], [], [], []
         columns = (batch.column(k).to_pylist() for k in range(4))
         for k, (number, kind, doc, body) in enumerate(zip(*columns)):
@@ -385,14 +373,15 @@ def _as_rows(buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            ids = batch.column(0)
+        for part in (part for batch in batches for part in batch_parts(batch, 1, CHUNK)):
+            ids = part.column(0)
             bucket = doc_bucket(ids.fill_null(0).to_numpy(), buckets)
-            bodies = [packer.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column(1).to_pylist()]
-            kind = np.ones(batch.num_rows, np.int32)
-            arrays = [pa.array(bucket), pa.array(kind), ids, pa.array(bodies, pa.binary())]
+            texts = part.column(1).cast(pa.binary()).to_pylist()
+            kind = np.ones(part.num_rows, np.int32)
+            bodies = pa.array([packer.compress(text) for text in texts], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [*arrays, batch.column(2)], names=["bucket", "kind", "doc", "body", "rest"]
+                [pa.array(bucket), pa.array(kind), ids, bodies, part.column(2)],
+                names=["bucket", "kind", "doc", "body", "rest"],
             )
 
     return run

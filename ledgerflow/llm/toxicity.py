@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerflow.llm.common import ship, text_of, text_parts
+from ledgerflow.llm.common import batch_parts, ship, text_of
 from ledgerflow.session import stage
 
 FEATURE_BITS = 20
@@ -138,17 +138,14 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
     sample = texts.join(chosen, "doc_id").select("text", "toxic", "turn")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).to_pylist()
-            rows: list[bytes] = []
-            for part in text_parts(texts):
-                owners, features = word_features(texts[part])
-                keys = np.unique(owners.astype(np.int64) << FEATURE_BITS | features)
-                ends = np.searchsorted(keys, np.arange(1, len(texts[part])) << FEATURE_BITS)
-                for one in np.split(keys & ((1 << FEATURE_BITS) - 1), ends):
-                    rows.append(one.astype("<i4").tobytes())
+        for part in (part for batch in batches for part in batch_parts(batch, 0)):
+            owners, features = word_features(part.column(0).to_pylist())
+            keys = np.unique(owners.astype(np.int64) << FEATURE_BITS | features)
+            ends = np.searchsorted(keys, np.arange(1, part.num_rows) << FEATURE_BITS)
+            split = np.split(keys & ((1 << FEATURE_BITS) - 1), ends)
+            rows = [one.astype("<i4").tobytes() for one in split]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.binary()), batch.column(1), batch.column(2)],
+                [pa.array(rows, pa.binary()), part.column(1), part.column(2)],
                 names=["features", "toxic", "turn"],
             )
 
@@ -174,31 +171,40 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
 
 
 def with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """``doc``, the whole input row, and ``score`` from 0 to 1 by its text."""
+    """``doc``, the whole input row, and ``score`` from 0 to 1 by its text.
+
+    A row goes to Python and back once, its text inside; texts are taken out of it part by part.
+    """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), text_of().alias("text")
-    )
+    place = docs.columns.index("text")
+    # Names may clash; inside the struct columns go by their place.
+    rows = docs.select(F.struct(*[
+        (F.col(f"`{c}`").cast("string") if k == place else F.col(f"`{c}`")).alias(c)
+        for k, c in enumerate(docs.columns)
+    ]).alias("doc"))
     shape = T.StructType([rows.schema["doc"], T.StructField("score", T.DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        dense = np.zeros(1 << FEATURE_BITS)
+        dense = np.zeros(1 << FEATURE_BITS, np.float32)
         dense[known.features] = known.weights
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            total = np.zeros(len(texts))
-            for part in text_parts(texts):
-                owners, features = word_features(texts[part])
+            texts = batch.column(0).field(place)
+            only = pa.RecordBatch.from_arrays([texts], names=["text"])
+            total = []
+            for part in batch_parts(only, 0):
+                owners, features = word_features([t or "" for t in part.column(0).to_pylist()])
                 telling = np.flatnonzero(dense[features])
                 # A feature counts once a text.
                 pairs = np.unique(owners[telling].astype(np.int64) << FEATURE_BITS | features[telling])
-                np.add.at(total, part.start + (pairs >> FEATURE_BITS), dense[pairs & ((1 << FEATURE_BITS) - 1)])
-            score = 1.0 / (1.0 + np.exp(-np.clip(total + known.bias, -35, 35)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score)], names=["doc", "score"]
-            )
+                weight = dense[pairs & ((1 << FEATURE_BITS) - 1)]
+                total.append(np.bincount(pairs >> FEATURE_BITS, weight, part.num_rows))
+            if total:
+                lean = np.clip(np.concatenate(total) + known.bias, -35, 35)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(1.0 / (1.0 + np.exp(-lean)))], names=["doc", "score"]
+                )
 
     return rows.mapInArrow(score, shape)
 
