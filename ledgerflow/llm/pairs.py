@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerflow.session import stage
+
 #: Rows of a bucket that one task compares with as many others.
 BLOCK_ROWS = 1024
 
@@ -20,7 +22,9 @@ def cut_buckets(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     holds more than two blocks. Adds ``one`` and ``two``, the group's blocks, and ``own``, the row's.
     """
     counts = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows_in")).where("rows_in > 1")
-    sized = rows.join(counts, "bucket").withColumn(
+    # Staged, so that the join lays both sides out itself and adaptive execution can split a bucket
+    # that holds a third of all rows.
+    sized = rows.join(stage(counts, "bucket-sizes"), "bucket").withColumn(
         "blocks", F.ceil(F.col("rows_in") / block_rows).cast("int")
     )
     owned = sized.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))

@@ -109,6 +109,9 @@ def write_archive(pages: DataFrame, folder: str, smallest_revisit: int = 0) -> N
     same = F.col("low") == F.col("high")
     clash = F.raise_error(F.lit("two payloads share a SHA-256 digest")).cast("long")
     groups = groups.select("digest", F.when(same, F.col("response")).otherwise(clash).alias("response"))
+    # Staged, so that the join lays both sides out itself and adaptive execution can split a payload
+    # that a third of all pages share.
+    groups = stage(groups, "warc-groups")
     records = facts.join(groups, "digest").select("digest", _header(smallest_revisit).alias("header"))
     records.write.option("compression", "zstd").parquet(f"{folder}/records")
 
