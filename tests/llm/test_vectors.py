@@ -67,6 +67,34 @@ def test_top_scores_agree_with_brute_force(spark):
     assert [f.dataType.simpleString() for f in found.schema] == ["bigint", "int", "bigint", "bigint"]
 
 
+@pytest.mark.parametrize("scale", [3e4, 1e8, 1e17, 1e300, 8e306])
+def test_scores_of_large_components_are_exact(spark, scale):
+    """Beyond 2^20, beyond what doubles and longs hold, and beyond 64 x as a double."""
+    draw = np.random.default_rng(5)
+    rows = [(k, [float(v) for v in draw.standard_normal(6) * scale], 0) for k in range(40)]
+    rows += [(100 + k, [float(v) for v in draw.standard_normal(6)], 0) for k in range(40)]
+    shape = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.DoubleType()))])
+    found = {tuple(r) for r in top_scores(spark.createDataFrame([r[:2] for r in rows], shape), k=7, step=20).collect()}
+    whole = {k: [math.floor(64.0 * v) if abs(v) < 2.0**56 else 64 * int(v) for v in x] for k, x, _ in rows}
+    wanted = set()
+    for q in (k for k in whole if k % 20 == 0):
+        best = []
+        for c in whole:
+            score = sum(a * b for a, b in zip(whole[q], whole[c]))
+            best.append((-min(max(score, -(2**63 - 1)), 2**63 - 1), c))
+        wanted |= {(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(b for b in best if b[1] != q)[:7])}
+    assert found == wanted
+
+
+def test_queries_and_candidates_over_many_blocks(spark, monkeypatch):
+    from ledgerflow.llm import vector_topk
+
+    monkeypatch.setattr(vector_topk, "VECTOR_BLOCK", 64)
+    rows = odd_rows(seed=9, count=700)
+    found = top_scores(frame(spark, rows), k=6, step=5)
+    assert {tuple(r) for r in found.collect()} == brute_top(rows, 6, 5)
+
+
 def test_fewer_candidates_than_asked_for_and_no_rows(spark):
     few = [(0, [1.0, 2.0], 0), (7, [1.0, 1.0], 0)]
     assert {tuple(r) for r in top_scores(frame(spark, few)).collect()} == {(0, 1, 7, 64 * 64 * 3)}
