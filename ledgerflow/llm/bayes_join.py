@@ -318,12 +318,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     ids = report.where("doc_id is not null").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("rows"), F.bool_or("kept").alias("kept")
     )
-    ids = stage(ids.where("kept"), "join-kept")
+    # Texts meet the shorter list, of ids that stay or of those that go, so that a short one can be
+    # sent to where the texts are.
+    ids = ids.withColumn("stays", (F.col("rows") == 1) & F.col("kept"))
+    ids = stage(ids.withColumn("several", (F.col("rows") > 1) & F.col("kept")).drop("rows", "kept"), "join-ids")
+    some = ids.agg(F.count_if("stays"), F.count_if(~F.col("stays")), F.count_if("several")).first()
+    listed = stage(ids.where("stays" if some[0] < some[1] else "not stays").select("doc_id"), "join-listed")
     named = docs.where(F.col("doc_id").isNotNull())
-    single = ids.where("rows = 1").select("doc_id")
-    rest = named.join(single, "doc_id", "left_semi").select(*named.columns)
-    several = ids.where("rows > 1").select("doc_id")
-    if several.limit(1).count():
+    how = "left_semi" if some[0] < some[1] else "left_anti"
+    rest = named.join(listed, "doc_id", how).select(*named.columns)
+    if some[2]:
+        several = ids.where("several").select("doc_id")
         rest = rest.unionByName(_one_of_repeated(named, report, several))
     return rest.unionByName(docs.where(F.col("doc_id").isNull()))
 
