@@ -57,22 +57,46 @@ def test_stages_keep_the_columns_and_take_any_documents(spark, tmp_path):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() >= len(rows)
 
 
-def test_pipeline_is_its_stages_one_after_the_other(spark):
-    """Each stage's decisions, made by the tested operators alone, take effect in the next."""
-    from ledgerflow.llm import bayes_join, mixing, packing, recompression, toxicity
+def test_pipeline_agrees_with_brute_force(spark, duck):
+    """The classifier's verdicts taken as given; all else by plain loops, SQL and the library."""
+    from test_texts import brute_repeats, brute_similar, split
+    from tokenizers import Tokenizer
+
+    from ledgerflow.llm import mixing, toxicity
     from ledgerflow.llm.queries import vocabulary
-    from ledgerflow.session import stage
 
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
-    docs = stage(toxicity.without_toxic(docs, labels), "t1")
-    classes = bayes_join.similar_documents(docs).where("kept").select("doc_id")
-    docs = stage(docs.join(classes, "doc_id", "left_semi").select(*docs.columns), "t2")
-    cut = recompression.remove_repeats(docs).select("doc.doc_id", "text")
-    docs = stage(docs.drop("text").join(cut, "doc_id").select(*docs.columns), "t3")
-    docs = stage(mixing.mix_documents(docs), "t4")
+    clean = [tuple(r) for r in toxicity.without_toxic(docs, labels).collect()]
+    assert 100 < len(clean) < docs.count() and len({r[0] for r in clean}) == len(clean)
+    leaders = {key for key, least, _ in brute_similar(clean) if key == least}
+    single = [r for r in clean if r[0] in leaders]
+    assert len(single) < len(clean)
+    first: dict[tuple, int] = {}
+    for key, text, *_ in sorted(single):
+        words = split(text)
+        for i in range(len(words) - 12):
+            first.setdefault(tuple(words[i : i + 13]), key)
+    cut = []
+    for key, text, lang, source, _ in single:
+        words, gone = split(text), set()
+        for i in range(len(words) - 12):
+            if first[tuple(words[i : i + 13])] < key:
+                gone |= set(range(i, i + 13))
+        if gone:
+            text = b" ".join(w for i, w in enumerate(words) if i not in gone).decode()
+        cut.append((key, text, lang, source))
+    assert sum(n for _, _, n, _ in brute_repeats(single)) > 0
+    own = duckdb.connect()
+    own.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
+    own.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", cut)
+    copies = dict(own.sql(f"SELECT doc_id, copies FROM ({mixing.ORACLE}) WHERE size > 0").fetchall())
+    library = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    expected = {}
+    for key, text, *_ in cut:
+        if copies.get(key):
+            tokens = len(library.encode(text, add_special_tokens=False).ids) + 1
+            expected[key, tokens] = tokens * copies[key]
     # Groups depend on the split of the input, tokens do not.
-    key = ["doc_id", "doc_tokens"]
-    expected = packing.pack(docs, vocabulary("byte_bpe_50k.json"), True, 0).groupBy(key).sum("length")
-    found = corpus_pipeline.run(spark, SMALL).groupBy(key).sum("length")
-    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    found = corpus_pipeline.run(spark, SMALL).groupBy("doc_id", "doc_tokens").sum("length").collect()
+    assert {(r[0], r[1]): r[2] for r in found} == expected

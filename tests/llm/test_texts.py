@@ -145,6 +145,36 @@ def test_toxicity_learns_and_leaves_clean_documents_alone(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in found.values())
 
 
+def test_ftrl_is_that_of_plain_loops():
+    """Per-coordinate rates and the L1 gap, one feature at a time in dictionaries."""
+    draw = np.random.default_rng(7)
+    rows = [np.unique(draw.integers(0, 60, draw.integers(1, 25))).astype(np.int32) for _ in range(150)]
+    labels = (np.array([3 in row or 8 in row for row in rows]) ^ (draw.random(150) < 0.1)).astype(float)
+    weights, bias = toxicity.train_ftrl(rows, labels, epochs=3)
+    seen = Counter(int(f) for row in rows for f in row)
+    kept = [[int(f) for f in row if seen[int(f)] >= toxicity.MIN_DOCS] for row in rows]
+    share = labels.mean()
+    z, n, b, b_n = Counter(), Counter(), 0.0, 0.0
+
+    def weight(f):
+        gap = max(abs(z[f]) - toxicity.L1, 0.0) * (1 if z[f] > 0 else -1)
+        return -gap / ((toxicity.BETA + n[f] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for epoch in range(3):
+        for k in np.random.default_rng(epoch).permutation(150):
+            old = {f: weight(f) for f in kept[k]}
+            error = 1 / (1 + np.exp(-(sum(old.values()) + b))) - labels[k]
+            error *= (1 - share) / share if labels[k] else 1.0
+            for f, w in old.items():
+                z[f] += error - ((n[f] + error**2) ** 0.5 - n[f] ** 0.5) / toxicity.ALPHA * w
+                n[f] += error**2
+            b_n += error**2
+            b -= error * toxicity.ALPHA / (toxicity.BETA + b_n**0.5)
+    assert bias == pytest.approx(b) and np.count_nonzero(weights) > 2
+    assert [weights[f] for f in range(60)] == pytest.approx([weight(f) if f in z else 0.0 for f in range(60)])
+    assert not weights[60:].any()
+
+
 def test_toxicity_takes_awkward_documents_and_keeps_all_columns(spark):
     rows, labels = toxic_rows()
     marked = spark.createDataFrame(labels, "doc_id long, toxic int")
@@ -263,6 +293,31 @@ def test_words_within_a_class_are_learnt(spark, monkeypatch):
     assert np.exp(logs).mean() > 0.3
 
 
+def test_probabilities_are_those_of_plain_loops():
+    """Every word after every context: its class, then the word within it, one exponential at a time."""
+    draw = np.random.default_rng(2)
+    size, count = log_bilinear.SIZE, 9
+    bounds = np.array([4, 6, 9])
+    share = np.full(count + 2, 1 / (count + 2))
+    model = log_bilinear.Model(
+        np.arange(1, count, dtype=np.uint64), np.arange(1, count), draw.normal(0, 1, (count + 3, size)).astype(np.float32),
+        draw.normal(0, 0.4, (2, size, size)).astype(np.float32), draw.normal(0, 1, count + 2).astype(np.float32),
+        share, bounds,
+    )
+    one, two, word = (draw.integers(0, n, 400) for n in (count + 3, count + 3, count))
+    found = log_bilinear.Predictor(model, np.float64).log_probabilities(one, two, word)
+    v, turns, bias = model.vectors.astype(float), model.turns.astype(float), model.bias.astype(float)
+    for k in range(400):
+        query = v[one[k]] @ turns[0] + v[two[k]] @ turns[1]
+        odds = {row: math.exp(sum(a * b for a, b in zip(query, v[row])) + bias[row]) for row in range(count + 2)}
+        top = [0, 1, 2, 3, count, count + 1]
+        kind = next((c for c in range(2) if bounds[c] <= word[k] < bounds[c + 1]), None)
+        chance = odds[word[k] if kind is None else count + kind] / sum(odds[row] for row in top)
+        if kind is not None:
+            chance *= odds[word[k]] / sum(odds[row] for row in range(bounds[kind], bounds[kind + 1]))
+        assert found[k] == pytest.approx(math.log(chance), abs=1e-9)
+
+
 def test_scoring_nothing(spark):
     assert log_bilinear.score_documents(frame(spark, [])).count() == 0
     one = log_bilinear.score_documents(frame(spark, [(1, None, None, None, 0)])).collect()
