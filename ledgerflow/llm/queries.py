@@ -50,8 +50,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     written = write_token_files(
-        docs, token_file_folder(docs), vocabulary("word_bpe_49k.json"), keeps_space=False, end_id=1
-    )
+        docs, token_file_folder(docs), vocabulary("word_bpe_49k.json"), keeps_space=False, end_id=1,
+        max_units=800_000,
+    )
     return read_token_files(written, keep_ids=False)
 
 

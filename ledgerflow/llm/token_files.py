@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerflow.llm.common import batch_parts, ship, text_of
-from ledgerflow.llm.token_ids import unit_encoder
+from ledgerflow.llm.token_ids import MAX_UNITS, unit_encoder
 from ledgerflow.session import scratch_path, stage
 
 MAGIC = b"PFB1"
@@ -152,10 +152,12 @@ WRITTEN_ARROW = pa.schema(
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, keeps_space: bool, end_id: int,
-    files: int | None = None,
+    files: int | None = None, max_units: int = MAX_UNITS,
 ) -> DataFrame:
     """Write ``doc_id`` and ``text`` as token files into ``folder``, in ascending doc_id order.
 
+    ``max_units`` bounds the units whose ids a Python worker remembers, about 200 bytes each.
+
     Returns one row per file: its path, its part and place in the part (their order is that of the
     ids), ids and documents. Null texts are empty, null doc_ids come first, rows that share a
     doc_id are ordered by text. Each attempt of a task writes files of its own name, and only those
@@ -165,7 +167,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder = unit_encoder(tokenizer, keeps_space)
+        encoder = unit_encoder(tokenizer, keeps_space, max_units)
         system, root = _open(folder)
         end = np.uint32(end_id).tobytes()
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex

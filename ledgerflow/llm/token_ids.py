@@ -98,6 +98,8 @@ class UnitEncoder:
         """Ids of a unit with nothing before it."""
         word = unit if self.keeps_space else unit.lower()
         if self._plain(word):
+            if word != unit:
+                return self.first[word]
             return self._spelt(word if word.isascii() else self._letters(word))
         if unit[-1:] in self.marks and self._plain(unit[:-1]):
             return self.first[unit[:-1]] + self.marks[unit[-1]]
@@ -138,5 +140,5 @@ class UnitEncoder:
 
 
 @lru_cache(maxsize=2)
-def unit_encoder(path: str, keeps_space: bool) -> UnitEncoder:
-    return UnitEncoder(path, keeps_space)
+def unit_encoder(path: str, keeps_space: bool, max_units: int = MAX_UNITS) -> UnitEncoder:
+    return UnitEncoder(path, keeps_space, max_units)
