@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
 import sys
 from pathlib import Path
 
@@ -75,3 +77,17 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 def test_top_rows_are_not_fully_sorted(spark):
     assert "TakeOrderedAndProject" in plan_of(QUERIES["top_k"](spark, SMALL))
+
+
+def test_the_contract_holds_without_the_optional_folder(tmp_path):
+    """Also where an empty cache folder is left of it, or the pipeline's file alone is there."""
+    root = Path(contract.__file__).parent
+    shutil.copytree(root / "ledgerflow", tmp_path / "ledgerflow", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    (tmp_path / "ledgerflow" / "llm" / "__pycache__").mkdir(parents=True)
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    for name in (None, "corpus_pipeline.py"):
+        if name:
+            (tmp_path / name).write_text("from ledgerflow.llm.common import table\n")
+        done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+        assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))], done.stderr
