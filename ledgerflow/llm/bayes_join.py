@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerflow.llm.common import ship, text_of, words_of
+from ledgerflow.llm.common import frugal, ship, text_of, words_of
 from ledgerflow.llm.components import connected_components
 from ledgerflow.llm.pairs import allowed_pairs, cut_buckets, deal, groups, local_roots
 from ledgerflow.session import stage
@@ -261,19 +261,19 @@ def _report(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     signed = stage(
-        chosen.mapInArrow(_sign, "doc_id long, key binary, signature binary"), "join-signed"
+        chosen.mapInArrow(frugal(_sign), "doc_id long, key binary, signature binary"), "join-signed"
     )
     classes = signed.where("key is not null and doc_id is not null").groupBy("key").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
         F.first("signature").alias("signature"),
     )
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()), "join-classes")
-    named = classes.select("id", "signature").mapInArrow(_bands, "bucket long, id long")
+    named = classes.select("id", "signature").mapInArrow(frugal(_bands), "bucket long, id long")
     shared = named.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     kept = stage(named.join(shared.select("bucket"), "bucket"), "join-buckets")
     cut = cut_buckets(kept).join(classes.select("id", "signature"), "id")
     cut = cut.select("bucket", "one", "two", "own", "id", "signature")
-    near = stage(deal(cut).mapInArrow(_prune, "a long, b long").distinct(), "join-near")
+    near = stage(deal(cut).mapInArrow(frugal(_prune), "a long, b long").distinct(), "join-near")
 
     clusters = connected_components(near).withColumnRenamed("component", "bucket")
     members = cut_buckets(clusters.select("bucket", "id"), TEXT_BLOCK).join(
@@ -281,7 +281,7 @@ def _report(docs: DataFrame) -> DataFrame:
     )
     texts = members.join(chosen.where("doc_id is not null"), F.col("first_id") == F.col("doc_id"))
     texts = texts.select("bucket", "one", "two", "own", "id", "copies", "key", "text")
-    found = stage(deal(texts).mapInArrow(_verify, FOUND), "join-links")
+    found = stage(deal(texts).mapInArrow(frugal(_verify), FOUND), "join-links")
 
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     edges = found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.llm.common import batch_parts, ship, text_of
+from ledgerflow.llm.common import batch_parts, frugal, ship, text_of
 from ledgerflow.llm.token_ids import LATIN_END, LONG_UNIT, byte_letters
 
 #: Units remembered by one Python worker, and the ids that all units held may have together.
@@ -379,7 +379,7 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], schema=schema)
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, ids binary")
+    return chosen.mapInArrow(frugal(run), "doc_id long, ids binary")
 
 
 def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
@@ -406,7 +406,7 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
 
     rows = encoded.select(*others, F.col("ids").cast("binary").alias("ids"))
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{shape}, text string" if others else "text string")
+    return rows.mapInArrow(frugal(run), f"{shape}, text string" if others else "text string")
 
 
 def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerflow.llm.common import batch_parts, ship, text_of
+from ledgerflow.llm.common import batch_parts, frugal, ship, text_of
 from ledgerflow.llm.token_ids import unit_encoder
 
 WINDOW = 1024
@@ -174,4 +174,4 @@ def pack(
             yield flush()
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return chosen.mapInArrow(run, PACKED + ", ids binary" * with_ids)
+    return chosen.mapInArrow(frugal(run), PACKED + ", ids binary" * with_ids)

@@ -31,7 +31,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerflow.llm.common import batch_parts, ship, text_of, words_of
+from ledgerflow.llm.common import batch_parts, frugal, ship, text_of, words_of
 
 WINDOW = 13
 #: Rounds: one of runs, the others of pairs.
@@ -412,15 +412,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def with_documents(names: DataFrame, rest: Column) -> DataFrame:
         whole = docs.select(doc_id, text_of().alias("text"), rest)
         shape = T.StructType([*kind.fields, T.StructField("rest", whole.schema["rest"].dataType)])
-        rows = whole.mapInArrow(_as_rows(buckets), shape)
+        rows = whole.mapInArrow(frugal(_as_rows(buckets)), shape)
         empty = F.lit(None).cast(shape["rest"].dataType).alias("rest")
         return dealt(names.select("*", empty).unionByName(rows))
 
-    parts_named = chosen.mapInArrow(_name_parts(buckets), Names.SCHEMA)
-    shared = dealt(parts_named).mapInArrow(_shared(buckets, later_only=False), Names.SCHEMA)
+    parts_named = chosen.mapInArrow(frugal(_name_parts(buckets)), Names.SCHEMA)
+    shared = dealt(parts_named).mapInArrow(frugal(_shared(buckets, later_only=False)), Names.SCHEMA)
     texts = with_documents(shared, F.lit(0).alias("rest"))
-    windows = texts.mapInArrow(_name_windows(buckets), Names.SCHEMA)
-    repeated = dealt(windows).mapInArrow(_shared(buckets, later_only=True), Names.SCHEMA)
+    windows = texts.mapInArrow(frugal(_name_windows(buckets)), Names.SCHEMA)
+    repeated = dealt(windows).mapInArrow(frugal(_shared(buckets, later_only=True)), Names.SCHEMA)
     out = T.StructType(
         [
             T.StructField("doc", docs.select(others).schema["rest"].dataType),
@@ -428,7 +428,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             T.StructField("kept_sha256", T.StringType()), T.StructField("text", T.StringType()),
         ]
     )
-    return with_documents(repeated, others).mapInArrow(_cut, out)
+    return with_documents(repeated, others).mapInArrow(frugal(_cut), out)
 
 
 def repeats_report(docs: DataFrame) -> DataFrame:

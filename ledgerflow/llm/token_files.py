@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerflow.llm.common import batch_parts, ship, text_of
+from ledgerflow.llm.common import batch_parts, frugal, ship, text_of
 from ledgerflow.llm.token_ids import MAX_UNITS, unit_encoder
 from ledgerflow.session import scratch_path, stage
 
@@ -204,7 +204,7 @@ def write_token_files(
     keys = ["doc_id"]
     ranged = chosen.repartitionByRange(files, *keys) if files else chosen.repartitionByRange(*keys)
     ordered = ranged.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    return stage(ordered.mapInArrow(write, WRITTEN), "token-files")
+    return stage(ordered.mapInArrow(frugal(write), WRITTEN), "token-files")
 
 
 
@@ -237,7 +237,7 @@ def read_token_files(written: DataFrame, keep_ids: bool = True) -> DataFrame:
     shown = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * keep_ids
     # One file a task, as far as that goes; a given number is not coalesced again.
     spread = based.select("path", "base").repartition(max(1, min(written.count(), 10_000)))
-    return spread.mapInArrow(read, shown)
+    return spread.mapInArrow(frugal(read), shown)
 
 
 def token_file_folder(docs: DataFrame) -> str:

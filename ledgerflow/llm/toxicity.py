@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ledgerflow.llm.common import batch_parts, ship, text_of
+from ledgerflow.llm.common import batch_parts, frugal, ship, text_of
 from ledgerflow.session import stage
 
 FEATURE_BITS = 20
@@ -161,10 +161,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
         )
 
     featured = stage(
-        sample.mapInArrow(featurise, "features binary, toxic int, turn long"), "toxic-features"
+        sample.mapInArrow(frugal(featurise), "features binary, toxic int, turn long"), "toxic-features"
     )
     # The bounded sample meets in one task; the weights are few.
-    fitted = featured.coalesce(1).mapInArrow(fit, "feature long, weight double").collect()
+    fitted = featured.coalesce(1).mapInArrow(frugal(fit), "feature long, weight double").collect()
     features = np.array([row.feature for row in fitted if row.feature >= 0], np.int64)
     weights = np.array([row.weight for row in fitted if row.feature >= 0], float)
     return ToxicityModel(features, weights, next((r.weight for r in fitted if r.feature < 0), 0.0))
@@ -206,7 +206,7 @@ def with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                     [batch.column(0), pa.array(1.0 / (1.0 + np.exp(-lean)))], names=["doc", "score"]
                 )
 
-    return rows.mapInArrow(score, shape)
+    return rows.mapInArrow(frugal(score), shape)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
