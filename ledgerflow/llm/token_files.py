@@ -35,6 +35,8 @@ BLOCK = 1024
 SHARE = 0.9
 #: A file is closed once it holds this many ids; a reader holds one file in memory.
 FILE_IDS = 1_000_000
+#: Texts of about this size are encoded together, so that a unit is looked up once in all of them.
+PART_BYTES = 4_000_000
 HEAD = struct.Struct("<4sIQI")
 INDEX = np.dtype([("at", "<u8"), ("low", "<u4"), ("width", "u1"), ("patched", "<u2")])
 DOCUMENT = np.dtype([("id", "<i8"), ("null", "u1"), ("first", "<u8")])
@@ -52,15 +54,24 @@ def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def unpack_bits(packed: np.ndarray, width: int, count: int) -> np.ndarray:
+    """Rows of ``count`` values of ``width`` bits; eight of them take ``width`` whole bytes."""
     rows = len(packed)
     if width == 0:
         return np.zeros((rows, count), np.uint32)
-    bits = np.unpackbits(packed, axis=-1, count=width * count, bitorder="little")
-    bits = bits.reshape(rows, count, width)
-    raw = np.packbits(bits, axis=-1, bitorder="little")
-    full = np.zeros((rows, count, 4), np.uint8)
-    full[..., : raw.shape[-1]] = raw
-    return full.view("<u4").reshape(rows, count)
+    eights = -(-count // 8)
+    raw = np.zeros((rows, eights * width), np.uint8)
+    raw[:, : packed.shape[1]] = packed
+    raw = np.ascontiguousarray(raw.reshape(-1, width).T)
+    out = np.empty((rows * eights, 8), np.uint32)
+    for k in range(8):
+        at, shift = divmod(k * width, 8)
+        size = (shift + width + 7) // 8
+        kind = np.uint32 if size <= 4 else np.uint64
+        value = raw[at].astype(kind)
+        for byte in range(1, size):
+            value |= raw[at + byte].astype(kind) << kind(8 * byte)
+        out[:, k] = (value >> kind(shift)) & kind((1 << width) - 1)
+    return out.reshape(rows, -1)[:, :count]
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -169,7 +180,7 @@ def write_token_files(
 
         encoder = unit_encoder(tokenizer, keeps_space, max_units)
         system, root = _open(folder)
-        end = np.uint32(end_id).tobytes()
+        end = np.uint32(end_id)
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
         names: list[int | None] = []
         held: list[np.ndarray] = []
@@ -188,11 +199,18 @@ def write_token_files(
             )
 
         system.create_dir(root, recursive=True)
-        for part_rows in (some for batch in batches for some in batch_parts(batch, 1)):
+        def encoded(texts: pa.Array) -> Iterator[np.ndarray]:
+            if keeps_space:
+                yield from (np.frombuffer(raw, "<u4") for raw in encoder.encode(texts.to_pylist()))
+                return
+            found, sizes = encoder.encode_column(texts)
+            yield from np.split(found, np.cumsum(sizes)[:-1])
+
+        for part_rows in (some for batch in batches for some in batch_parts(batch, 1, PART_BYTES)):
             keys = part_rows.column(0).to_pylist()
-            for key, raw in zip(keys, encoder.encode(part_rows.column(1).to_pylist())):
+            for key, found in zip(keys, encoded(part_rows.column(1))):
                 names.append(key)
-                held.append(np.frombuffer(raw + end, "<u4"))
+                held.append(np.append(found, end))
                 ids += len(held[-1])
                 if ids >= FILE_IDS:
                     yield close()

@@ -53,6 +53,33 @@ def test_cutting_any_text_changes_no_id(text):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library_ids(name, text)
 
 
+@pytest.mark.parametrize("name, keeps_space", [(BYTES, True), (WORDS, False)])
+def test_marks_after_words_and_special_tokens_change_no_id(name, keeps_space):
+    encoder = token_ids.UnitEncoder(vocabulary(name), keeps_space)
+    stems = ["heat", "HEAT", "Été", "J\u030cx", "it's", "<|endoftext|>", "<|ENDOFTEXT|>", "a<|endoftext|>", "3", ""]
+    tails = ["", ".", "***", "%%%\"", "'", "'s.", "_x", "\u0338", "=\u0338", "<|", ".\u0301"]
+    texts = [f"x {stem}{tail} y\n{stem}{tail}" for stem in stems for tail in tails]
+    library = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+    for text, raw, expected in zip(texts, encoder.encode(texts), library, strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == expected.ids, text
+
+
+def test_a_word_is_learnt_once_whatever_its_marks_and_case():
+    encoder = token_ids.UnitEncoder(vocabulary(WORDS), False)
+    encoder.encode(["heat Heat, heat*** HEAT%%%", "", "(heat"])
+    assert sorted(encoder.first) == ["", "(heat", "heat"]
+
+
+@pytest.mark.parametrize("count", [1, 7, 8, 1024])
+def test_bits_of_any_width_come_back(count):
+    for width in range(33):
+        top = (1 << width) - 1
+        rows = np.random.default_rng(width).integers(0, top, (2, count), np.uint64, endpoint=True)
+        rows[0, 0] = top
+        packed = token_files.pack_bits(rows.astype(np.uint32), width)
+        assert (token_files.unpack_bits(packed, width, count) == rows).all()
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
