@@ -174,4 +174,4 @@ def pack(
             yield flush()
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return chosen.mapInArrow(frugal(run), PACKED + ", ids binary" * with_ids)
+    return chosen.mapInArrow(frugal(run, encodes=True), PACKED + ", ids binary" * with_ids)

@@ -222,7 +222,7 @@ def write_token_files(
     keys = ["doc_id"]
     ranged = chosen.repartitionByRange(files, *keys) if files else chosen.repartitionByRange(*keys)
     ordered = ranged.sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
-    return stage(ordered.mapInArrow(frugal(write), WRITTEN), "token-files")
+    return stage(ordered.mapInArrow(frugal(write, encodes=True), WRITTEN), "token-files")
 
 
 

@@ -201,3 +201,8 @@ def _gather(ids: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> np.ndarra
 @lru_cache(maxsize=2)
 def unit_encoder(path: str, keeps_space: bool, max_units: int = MAX_UNITS) -> UnitEncoder:
     return UnitEncoder(path, keeps_space, max_units)
+
+
+def forget_units() -> None:
+    """Let go of what this worker's encoders remember."""
+    unit_encoder.cache_clear()

@@ -26,6 +26,8 @@ EPOCHS = 8
 MIN_DOCS = 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 16.0, 0.0
 TOXIC_AT = 0.7
+#: Texts of about this size are taken apart together; a text's features take many times its size.
+PART_BYTES = 250_000
 
 _TOKEN = re.compile(r"[^\W_]+")
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -138,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = MAX_PER_CLASS) ->
     sample = texts.join(chosen, "doc_id").select("text", "toxic", "turn")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (part for batch in batches for part in batch_parts(batch, 0)):
+        for part in (part for batch in batches for part in batch_parts(batch, 0, PART_BYTES)):
             owners, features = word_features(part.column(0).to_pylist())
             keys = np.unique(owners.astype(np.int64) << FEATURE_BITS | features)
             ends = np.searchsorted(keys, np.arange(1, part.num_rows) << FEATURE_BITS)
@@ -192,19 +194,21 @@ def with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         for batch in batches:
             texts = batch.column(0).field(place)
             only = pa.RecordBatch.from_arrays([texts], names=["text"])
-            total = []
-            for part in batch_parts(only, 0):
+            at = 0
+            for part in batch_parts(only, 0, PART_BYTES):
                 owners, features = word_features([t or "" for t in part.column(0).to_pylist()])
                 telling = np.flatnonzero(dense[features])
                 # A feature counts once a text.
                 pairs = np.unique(owners[telling].astype(np.int64) << FEATURE_BITS | features[telling])
                 weight = dense[pairs & ((1 << FEATURE_BITS) - 1)]
-                total.append(np.bincount(pairs >> FEATURE_BITS, weight, part.num_rows))
-            if total:
-                lean = np.clip(np.concatenate(total) + known.bias, -35, 35)
+                total = np.bincount(pairs >> FEATURE_BITS, weight, part.num_rows)
+                lean = np.clip(total + known.bias, -35, 35)
+                # Part by part, so that neither side holds a second whole batch.
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(1.0 / (1.0 + np.exp(-lean)))], names=["doc", "score"]
+                    [batch.column(0).slice(at, part.num_rows), pa.array(1.0 / (1.0 + np.exp(-lean)))],
+                    names=["doc", "score"],
                 )
+                at += part.num_rows
 
     return rows.mapInArrow(frugal(score), shape)
 

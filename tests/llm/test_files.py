@@ -16,7 +16,7 @@ from hypothesis import given, settings, strategies as st
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 from documents import frame, odd_documents  # noqa: E402
 
-from ledgerflow.llm import packing, token_files, token_ids, warc  # noqa: E402
+from ledgerflow.llm import common, packing, token_files, token_ids, warc  # noqa: E402
 from ledgerflow.llm.queries import vocabulary  # noqa: E402
 from ledgerflow.session import scratch_path  # noqa: E402
 
@@ -70,6 +70,14 @@ def test_a_word_is_learnt_once_whatever_its_marks_and_case():
     assert sorted(encoder.first) == ["", "(heat", "heat"]
 
 
+def test_workers_remember_units_only_for_operators_that_encode():
+    for encodes, left in ((True, 1), (False, 0)):
+        token_ids.forget_units()
+        token_ids.unit_encoder(vocabulary(BYTES), True)
+        assert list(common.frugal(lambda batches: batches, encodes)(iter([]))) == []
+        assert token_ids.unit_encoder.cache_info().currsize == left
+
+
 @pytest.mark.parametrize("count", [1, 7, 8, 1024])
 def test_bits_of_any_width_come_back(count):
     for width in range(33):
