@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import sys
@@ -318,6 +319,156 @@ def test_probabilities_are_those_of_plain_loops():
         assert found[k] == pytest.approx(math.log(chance), abs=1e-9)
 
 
+def test_words_of_a_part_are_hashed_once_each(monkeypatch):
+    texts = ["", " ", "a\x0bB\x0cc\td\re\nf  a ", "\u00c9 x\u00a0y\u2003 \x1cz\x85", "\x1f\x00 a A", *["to be or not to be"] * 50]
+    hashed, plain = [], log_bilinear.xxhash.xxh3_64_digest
+
+    class Counted:
+        @staticmethod
+        def xxh3_64_digest(word):
+            hashed.append(word)
+            return plain(word)
+
+    monkeypatch.setattr(log_bilinear, "xxhash", Counted)
+    for kind in (pa.string(), pa.large_string()):
+        hashed.clear()
+        names, tokens, sizes = log_bilinear.read_words(pa.array(texts, kind).slice(0))
+        words = [[*t.encode().lower().split(), b""] for t in texts]
+        assert sizes.tolist() == [len(w) for w in words]
+        expected = [int.from_bytes(plain(w), "big") for text in words for w in text]
+        assert names[tokens].tolist() == expected
+        assert len(hashed) <= len(set(expected)) + 1
+    assert [len(x) for x in log_bilinear.read_words(pa.array([], pa.string()))] == [1, 0, 0]
+
+
+def test_draws_within_a_class_are_those_of_a_binary_search():
+    draw = np.random.default_rng(4)
+    share = draw.random(400) ** 3
+    bounds = np.array([10, 11, 60, 200, 400])
+    draws = log_bilinear.ClassDraws(share, bounds)
+    kinds, part = draw.integers(0, 4, 20_000), draw.random(20_000)
+    part[:4], kinds[:4] = (0.0, 0.0, 1 - 2**-53, 1 - 2**-53), (0, 3, 0, 3)
+    upto = np.cumsum(share)
+    low, high = bounds[kinds], bounds[kinds + 1]
+    spot = upto[low - 1] + part * (upto[high - 1] - upto[low - 1])
+    expected = np.clip(np.searchsorted(upto, spot), low, high - 1)
+    assert (draws.take(kinds, part) == expected).all()
+
+
+def test_a_step_is_that_of_plain_loops():
+    """Noise-contrastive gradients word by word, summed by row, and Adagrad on each number."""
+    draw = np.random.default_rng(8)
+    size, words, bounds = log_bilinear.SIZE, 9, np.array([4, 6, 9])
+    share = draw.random(words + 2) + 0.1
+    share[[0, 1, 2, 3, 9, 10]] /= share[[0, 1, 2, 3, 9, 10]].sum()
+    share[4:6] /= share[4:6].sum()
+    share[6:9] /= share[6:9].sum()
+    model = log_bilinear.Model(
+        np.arange(1, words, dtype=np.uint64), np.arange(1, words), draw.normal(0, 0.5, (words + 3, size)).astype(np.float32),
+        draw.normal(0, 0.4, (2, size, size)).astype(np.float32), draw.normal(0, 1, words + 2).astype(np.float32),
+        share, bounds,
+    )
+    start = words + 2
+    runs = draw.integers(0, words, (4, 6))
+    runs[1, :3] = runs[3, 2:4] = start  # where texts begin
+    trainer = log_bilinear.Trainer(model, 1)
+    inner_noise = {}
+    pick = trainer.inner_draws.take
+
+    def noted(kinds, part):
+        found = pick(kinds, part)
+        for k, w in zip(kinds.tolist(), found.tolist()):
+            inner_noise.setdefault(k, []).append(w)
+        return found
+
+    trainer.inner_draws.take = noted
+    rows, turns = trainer.rows.astype(float), trainer.turns.astype(float)
+    again = np.random.default_rng(1)
+    trainer.step_runs(runs)
+    tops = [0, 1, 2, 3, 9, 10]
+    drawn = np.searchsorted(np.cumsum(share[tops]), again.random(log_bilinear.NOISE))
+    noise = [tops[min(k, 5)] for k in drawn]
+    changes, turned = np.zeros_like(rows), np.zeros_like(turns)
+    blocks, tokens = {}, []
+    for run in runs.tolist():
+        tokens += [(run[k - 1], run[k - 2], run[k]) for k in range(2, 6) if run[k] != start]
+    for one, two, word in tokens:
+        query = np.append(rows[one, :-1] @ turns[0] + rows[two, :-1] @ turns[1], 1.0)
+        back = np.zeros(size + 1)
+        kind = next((k for k in range(2) if bounds[k] <= word < bounds[k + 1]), None)
+        cases = [(word if kind is None else words + kind, noise, log_bilinear.NOISE)]
+        if kind is not None:
+            # Not more than a block's words of each class are in this batch, so they share their noise.
+            blocks[kind] = blocks.get(kind, 0) + 1
+            cases.append((word, inner_noise[kind], log_bilinear.INNER_NOISE))
+        for target, others, count in cases:
+            for row, real in [(target, 1.0), *((o, 0.0) for o in others)]:
+                odds = query @ rows[row] - math.log(count * share[row])
+                error = real - 1 / (1 + math.exp(-odds))
+                back += error * rows[row]
+                changes[row] += error * query
+        for at, k in ((one, 0), (two, 1)):
+            changes[at, :-1] += turns[k] @ back[:-1]
+            turned[k] += np.outer(rows[at, :-1], back[:-1])
+    assert blocks and max(blocks.values()) <= log_bilinear.BLOCK
+    changes, turned = changes / len(tokens), turned / len(tokens)
+    rows += log_bilinear.RATE * changes / np.sqrt(log_bilinear.FIRST_SQUARE + changes**2)
+    turns += log_bilinear.RATE * turned / np.sqrt(1e-4 + turned**2)
+    assert trainer.tokens == len(tokens)
+    assert np.abs(trainer.rows - rows).max() < 1e-4 and np.abs(trainer.turns - turns).max() < 1e-4
+
+
+def test_every_token_is_learnt_once():
+    counts = {}
+    model = log_bilinear.Model(
+        np.arange(1, 9, dtype=np.uint64), np.arange(1, 9), np.zeros((10, 24), np.float32),
+        np.zeros((2, 24, 24), np.float32), np.zeros(9, np.float32), np.full(9, 1 / 9),
+    )
+    for sizes in ([1], [1, 1, 1], [40, 1, 7, 300], [9000, 3], [16] * 20):
+        texts = [np.arange(n) % 9 for n in sizes]
+        trainer, met = log_bilinear.Trainer(model, 0), []
+        trainer.step_runs = lambda runs, met=met: met.extend(
+            (r[k - 2], r[k - 1], r[k]) for r in runs.tolist() for k in range(2, len(r)) if r[k] != 9
+        )
+        trainer.learn(texts)
+        padded = [[9, 9, *t.tolist()] for t in texts]
+        counts = Counter((t[k - 2], t[k - 1], t[k]) for t in padded for k in range(2, len(t)))
+        assert Counter(met) == counts
+
+
+def test_few_texts_are_learnt_in_smaller_batches(spark):
+    rows = []
+    for k in range(400):
+        rows.append((k, " ".join(f"v{(k * 7 + j) % 30}" for j in range(60)), None, None, 0))
+    found = log_bilinear.score_documents(frame(spark, rows, extra=False)).collect()
+    held = [r for r in found if r.held_out]
+    assert sum(r.score for r in held) > 0.5 * sum(r.base_score for r in held)
+
+
+def test_tables_of_frequent_words_change_no_probability(monkeypatch):
+    draw = np.random.default_rng(6)
+    words, bounds = 90, np.array([20, 50, 90])
+    rows = words + 2 + 1
+    for scale in (0.3, 30.0):  # the latter is beyond what single precision can multiply
+        model = log_bilinear.Model(
+            np.arange(1, words, dtype=np.uint64), np.arange(1, words), draw.normal(0, 0.6, (rows, 24)).astype(np.float32),
+            draw.normal(0, scale, (2, 24, 24)).astype(np.float32), draw.normal(0, 1, words + 2).astype(np.float32),
+            np.full(words + 2, 0.1), bounds,
+        )
+        one, two = draw.integers(0, rows, (2, 3000))
+        one[one >= words], two[two >= words] = rows - 1, rows - 1
+        word = draw.integers(0, words, 3000)
+        exact = log_bilinear.Predictor(model, np.float64)
+        exact.slot[:] = -1
+        exact = exact.log_probabilities(one, two, word)
+        for table in (0, 22 * 30, 4_000_000):
+            monkeypatch.setattr(log_bilinear, "TABLE", table)
+            found = log_bilinear.Predictor(model).log_probabilities(one, two, word)
+            assert np.isfinite(found).all()
+            assert np.abs(found - exact).max() < 1e-4 * max(1.0, np.abs(exact).max())
+    assert len(log_bilinear.Predictor(model).log_probabilities(*np.zeros((3, 0), np.int64))) == 0
+
+
 def test_scoring_nothing(spark):
     assert log_bilinear.score_documents(frame(spark, [])).count() == 0
     one = log_bilinear.score_documents(frame(spark, [(1, None, None, None, 0)])).collect()
